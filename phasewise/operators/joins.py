@@ -101,7 +101,14 @@ def presence(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
 def mark_presence(
     df: DataFrame, sides: Sequence[tuple[DataFrame, str]], keys: Sequence[str]
 ) -> DataFrame:
-    """Full-join presence flags of several frames by key; absent means 0."""
+    """Full-join presence flags of several frames by key; absent means 0.
+
+    Written as a left join plus the marks without a partner: AQE can split the rows of a hot
+    key in both of these, which it cannot in a full join.
+    """
     flags = [name for _, name in sides]
     marks = merge_unique([presence(side, keys, name) for side, name in sides], keys)
-    return full_join(df, marks, keys, null_safe=True).fillna(0, subset=flags)
+    seen = df.select(*keys).distinct()
+    alone = marks.alias("l").join(seen.alias("r"), _match(keys, True), "left_anti")
+    marked = left_join(df, marks, keys, null_safe=True)
+    return marked.unionByName(alone, allowMissingColumns=True).fillna(0, subset=flags)

@@ -209,6 +209,18 @@ SURVEY_COMPLIANCE_HEADERS = [
     ("rate_expected", "Percent of expected surveys completed"),
     ("rate_days", "Percent of days with completed survey(s)"),
 ]
+SURVEY_RATE_LABELS = {
+    "rate_expected_surveys_completed_overall": "Overall",
+    "rate_expected_surveys_completed_phase1": "Phase 1",
+    "rate_expected_surveys_completed_phase2": "Phase 2",
+    "rate_days_with_surveys_overall_any": "Overall, any",
+    "rate_days_with_surveys_overall_all": "Overall, all",
+    "rate_days_with_surveys_phase1_daily": "Phase 1, daily",
+    "rate_days_with_surveys_phase2_morning": "Phase 2, morning",
+    "rate_days_with_surveys_phase2_evening": "Phase 2, evening",
+    "rate_days_with_surveys_phase2_morning_or_evening": "Phase 2, morning or evening",
+    "rate_days_with_surveys_phase2_morning_and_evening": "Phase 2, morning and evening",
+}
 DEVICE_COMPLIANCE_HEADER = "Percent of days with sufficient Fitbit data"
 
 ENGAGEMENT_LABELS = {

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasewise.functions import distributions as dist
@@ -24,6 +24,7 @@ from phasewise.sources.readers import phase_averages
 # Cohen's (1988) bounds of effect size labels.
 MAGNITUDES = ((0.2, "negligible"), (0.5, "small"), (0.8, "moderate"))
 COMPARISONS = ((2, 1), (3, 1), (3, 2))
+ADJUSTMENTS = ("none", "bonferroni", "holm", "hochberg", "BH", "BY")
 FISHER_TABLES = 200_000
 
 
@@ -314,7 +315,43 @@ def _anova_columns(stats: DataFrame, times: Sequence) -> DataFrame:
     )
 
 
-def _pairwise_columns(stats: DataFrame, times: Sequence, comparisons: Sequence) -> DataFrame:
+def adjust_p(
+    tests: DataFrame, p: str, group: Sequence[str], method: str = "none", into: str = "p_adj"
+) -> DataFrame:
+    """Correct p-values for the number of tests in each group.
+
+    Step-down and step-up methods run over the ordered p-values of one group, which holds a
+    row per comparison.
+    """
+    if method not in ADJUSTMENTS:
+        raise ValueError(f"`method` must be one of: {', '.join(ADJUSTMENTS)}")
+    value = F.col(p)
+    if method == "none":
+        return tests.withColumn(into, value)
+    m = F.count(value).over(Window.partitionBy(*group))
+    if method == "bonferroni":
+        return tests.withColumn(into, F.least(value * m, F.lit(1.0)))
+    upward = Window.partitionBy(*group).orderBy(F.col(p).asc_nulls_last())
+    ranked = tests.withColumns({"__m": m, "__i": F.row_number().over(upward)})
+    m, i = F.col("__m"), F.col("__i")
+    if method == "holm":
+        running = F.max(value * (m - i + 1)).over(upward.orderBy("__i"))
+    else:
+        scale = {
+            "hochberg": m - i + 1,
+            "BH": m / i,
+            "BY": m / i * F.aggregate(
+                F.sequence(F.lit(1).cast("long"), m), F.lit(0.0), lambda acc, k: acc + 1 / k
+            ),
+        }[method]
+        running = F.min(value * scale).over(upward.orderBy(F.desc("__i")))
+    out = F.when(value.isNotNull(), F.least(running, F.lit(1.0)))
+    return ranked.withColumn(into, out).drop("__m", "__i")
+
+
+def _pairwise_columns(
+    stats: DataFrame, times: Sequence, comparisons: Sequence, p_adjust: str = "none"
+) -> DataFrame:
     """Comparison rows (later, earlier) with the difference later minus earlier."""
     at = {t: i for i, t in enumerate(times)}
     cells = []
@@ -330,8 +367,8 @@ def _pairwise_columns(stats: DataFrame, times: Sequence, comparisons: Sequence)
                 F.col(f"ds{a}{b}").alias("__sd"),
             )
         )
-    rows = stats.select("outcome", "n", F.inline(F.array(*cells)))
-    return _t_results(rows).select(
+    rows = _t_results(stats.select("outcome", "n", F.inline(F.array(*cells))))
+    return adjust_p(rows, "p_value", ["outcome"], p_adjust).select(
         "outcome",
         "ttest_group1",
         "ttest_group2",
@@ -342,8 +379,8 @@ def _pairwise_columns(stats: DataFrame, times: Sequence, comparisons: Sequence)
         F.col("p_value").alias("ttest_p"),
         F.col("conf_int1").alias("ttest_conf_low"),
         F.col("conf_int2").alias("ttest_conf_high"),
-        F.col("p_value").alias("ttest_p_adj"),
-        F.lit("none").alias("p_adj_method"),
+        F.col("p_adj").alias("ttest_p_adj"),
+        F.lit(p_adjust).alias("p_adj_method"),
         "effect_size_cohensd",
         "effect_size_magnitude",
     )
@@ -356,10 +393,11 @@ def pairwise_t_tests(
     id: str,
     times: Sequence = (1, 2, 3),
     comparisons: Sequence[tuple] = COMPARISONS,
+    p_adjust: str = "none",
 ) -> DataFrame:
-    """Paired t-tests between chosen timepoints, unpooled and unadjusted."""
+    """Paired t-tests between chosen timepoints, unpooled."""
     stats = _moments(complete_profiles(df, outcomes, time, id, times), len(times))
-    return _pairwise_columns(stats, times, comparisons)
+    return _pairwise_columns(stats, times, comparisons, p_adjust)
 
 
 def anova_with_comparisons(
@@ -369,12 +407,21 @@ def anova_with_comparisons(
     id: str,
     times: Sequence = (1, 2, 3),
     comparisons: Sequence[tuple] = COMPARISONS,
+    p_adjust: str = "none",
 ) -> DataFrame:
     """ANOVA and pairwise tests together: one row per outcome and comparison."""
     stats = _moments(complete_profiles(df, outcomes, time, id, times), len(times))
     anova = _anova_columns(stats, times)
-    pairs = _pairwise_columns(stats, times, comparisons).drop("n")
-    return anova.join(pairs, "outcome")
+    pairs = _pairwise_columns(stats, times, comparisons, p_adjust).drop("n")
+    formula = F.concat(F.col("outcome"), F.lit(f" ~ {time}"))
+    return anova.join(pairs, "outcome").withColumns(
+        {
+            "anova_formula": F.concat(formula, F.lit(f" + Error({id}/{time})")),
+            "ttest_formula": formula,
+            "ttest_paired": F.lit(True),
+            "ttest_poolsd": F.lit(False),
+        }
+    )
 
 
 # ---- cohort comparison -----------------------------------------------------------------
@@ -435,65 +482,42 @@ def cross_counts(df: DataFrame, variables: Sequence[str], group: str) -> DataFra
     )
 
 
-def _margins(counts: DataFrame) -> DataFrame:
-    """Per variable: level sizes, group sizes and total, as one row with level arrays.
+def chi_square_tests(counts: DataFrame) -> DataFrame:
+    """Pearson chi-square without continuity correction, per variable.
 
-    The arrays hold one entry per answer option, a bounded set.
+    Rows: variable, statistic, df, min_expected, p_value.  Only cells that occur are rows; an
+    empty cell adds its expected count, and what all empty cells expect is the total less
+    what the occurring cells expect.
     """
-    by_level = counts.groupBy("variable", "level").agg(
-        F.sum("n").alias("level_n"),
-        F.collect_list(F.struct("by", "n")).alias("cells"),
-    )
+    levels = counts.groupBy("variable", "level").agg(F.sum("n").alias("level_n"))
     groups = counts.groupBy("variable", "by").agg(F.sum("n").alias("group_n"))
-    sizes = groups.groupBy("variable").agg(
-        F.sort_array(F.collect_list(F.struct("by", "group_n"))).alias("groups"),
-        F.sum("group_n").alias("total"),
+    sizes = levels.groupBy("variable").agg(
+        F.count("*").alias("n_levels"),
+        F.min("level_n").alias("least_level"),
+        F.sum("level_n").cast("double").alias("total"),
     )
-    levels = by_level.groupBy("variable").agg(
-        F.sort_array(F.collect_list(F.struct("level", "level_n", "cells"))).alias("levels")
+    strata = groups.groupBy("variable").agg(
+        F.count("*").alias("n_groups"), F.min("group_n").alias("least_group")
     )
-    return levels.join(sizes, "variable")
-
-
-def chi_square_tests(counts: DataFrame) -> DataFrame:
-    """Pearson chi-square without continuity correction, per variable.
-
-    Rows: variable, statistic, df, min_expected, p_value.
-    """
-
-    def per_cell(combine, start):
-        return F.aggregate(
-            "levels",
-            start,
-            lambda acc, lv: F.aggregate(
-                F.col("groups"),
-                acc,
-                lambda a, g: combine(
-                    a,
-                    F.coalesce(
-                        F.get(
-                            F.filter(lv["cells"], lambda c: c["by"] == g["by"]), F.lit(0)
-                        )["n"],
-                        F.lit(0),
-                    ).cast("double"),
-                    lv["level_n"].cast("double") * g["group_n"] / F.col("total"),
-                ),
-            ),
-        )
-
-    table = _margins(counts)
-    statistic = per_cell(lambda a, o, e: a + (o - e) * (o - e) / e, F.lit(0.0))
-    least = per_cell(lambda a, o, e: F.least(a, e), F.lit(float("inf")))
-    df = (F.size("levels") - 1) * (F.size("groups") - 1)
-    return (
-        table.select(
-            "variable",
-            statistic.alias("statistic"),
-            df.cast("double").alias("df"),
-            least.alias("min_expected"),
-        )
-        .withColumn("p_value", dist.chi2_sf(F.col("statistic"), F.col("df")))
+    margins = sizes.join(strata, "variable")
+    expected = F.col("level_n").cast("double") * F.col("group_n") / F.col("total")
+    off = F.col("n") - F.col("e")
+    cells = (
+        counts.join(levels, ["variable", "level"])
+        .join(groups, ["variable", "by"])
+        .join(margins, "variable")
+        .withColumn("e", expected)
+    )
+    fit = cells.groupBy("variable", *[c for c in margins.columns if c != "variable"]).agg(
+        F.sum(off * off / F.col("e")).alias("__seen"), F.sum("e").alias("__e")
     )
+    smallest = F.col("least_level") * F.col("least_group") / F.col("total")
+    return fit.select(
+        "variable",
+        (F.col("__seen") + F.greatest(F.col("total") - F.col("__e"), F.lit(0.0))).alias("statistic"),
+        ((F.col("n_levels") - 1) * (F.col("n_groups") - 1)).cast("double").alias("df"),
+        smallest.alias("min_expected"),
+    ).withColumn("p_value", dist.chi2_sf(F.col("statistic"), F.col("df")))
 
 
 def fisher_tests(
@@ -502,34 +526,35 @@ def fisher_tests(
     """Fisher's exact test of levels against two groups, per variable.
 
     All tables with the observed margins are enumerated level by level on the one result row
-    of the variable.  A variable with more than ``max_tables`` of them gets no p-value
-    (``n_tables`` tells), and callers fall back to chi-square.
+    of the variable; the largest level takes what is left, so it multiplies nothing.  A
+    variable with more than ``max_tables`` of them gets no p-value (``n_tables`` tells), and
+    callers fall back to chi-square.  Levels are gathered only within that bound, which a
+    level of any size at least doubles: there are at most log2(max_tables) + 1 of them.
     """
-    per_level = (
-        counts.groupBy("variable", "level")
-        .agg(
-            F.sum("n").alias("r"),
-            F.sum(F.when(F.col("by") == first, F.col("n")).otherwise(0)).alias("a"),
-        )
+    level = counts.groupBy("variable", "level").agg(
+        F.sum("n").alias("r"),
+        F.sum(F.when(F.col("by") == first, F.col("n")).otherwise(0)).alias("a"),
+    )
+    total = level.groupBy("variable").agg(
+        F.sum("a").alias("c1"), F.sum("r").alias("total"), F.max("r").alias("__largest")
+    )
+    choices = F.log(F.least(F.col("r"), F.col("c1")) + 1)
+    known = level.join(total, "variable")
+    sized = known.groupBy("variable", "c1", "total").agg(
+        # The largest level is determined by the others.
+        (F.sum(choices) - F.max(F.when(F.col("r") == F.col("__largest"), choices))).alias("__log"),
+    )
+    within = F.col("__log") <= F.log(F.lit(float(max_tables))) + 1e-9
+    listed = (
+        known.join(sized.filter(within).select("variable"), "variable", "left_semi")
         .groupBy("variable")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("level", "r", "a"))).alias("rows"),
-            F.sum("a").alias("c1"),
-            F.sum("r").alias("total"),
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("r", "level", "a"))).alias("rows"))
     )
+    tables = sized.join(listed, "variable", "left")
 
     def log_choose(n: Column, x: Column) -> Column:
         return dist.log_factorial(n) - dist.log_factorial(x) - dist.log_factorial(n - x)
 
-    # Upper bound on the number of tables: the last level is determined by the others.
-    bound = F.aggregate(
-        F.slice("rows", 1, F.size("rows") - 1),
-        F.lit(1.0),
-        lambda acc, r: acc * (F.least(r["r"], F.col("c1")) + 1).cast("double"),
-    )
-    start = F.array(F.struct(F.col("c1").alias("left"), F.lit(0.0).alias("lp")))
-
     def place(states: Column, r: Column) -> Column:
         """Give the level every possible count of the first group."""
         return F.flatten(
@@ -544,20 +569,27 @@ def fisher_tests(
             )
         )
 
-    enumerated = F.filter(
-        F.aggregate("rows", start, place), lambda s: s["left"] == 0
+    start = F.array(F.struct(F.col("c1").alias("left"), F.lit(0.0).alias("lp")))
+    largest = F.element_at("rows", -1)["r"]
+    placed = F.aggregate(F.slice("rows", F.lit(1), F.size("rows") - 1), start, place)
+    fitting = F.transform(
+        F.filter(placed, lambda s: s["left"] <= largest),
+        lambda s: s["lp"] + log_choose(largest, s["left"]),
     )
-    base = log_choose(F.col("total"), F.col("c1"))
     observed = F.aggregate("rows", F.lit(0.0), lambda acc, r: acc + log_choose(r["r"], r["a"]))
-    tables = per_level.withColumns(
-        {"n_tables": bound, "__base": base, "__obs": observed}
-    ).withColumn("__tables", F.when(F.col("n_tables") <= max_tables, enumerated))
+    tables = tables.withColumns(
+        {"__logs": fitting, "__obs": observed, "__base": log_choose(F.col("total"), F.col("c1"))}
+    )
     p = F.aggregate(
-        F.filter("__tables", lambda s: s["lp"] <= F.col("__obs") + 1e-7),
+        F.filter("__logs", lambda lp: lp <= F.col("__obs") + 1e-7),
         F.lit(0.0),
-        lambda acc, s: acc + F.exp(s["lp"] - F.col("__base")),
+        lambda acc, lp: acc + F.exp(lp - F.col("__base")),
+    )
+    return tables.select(
+        "variable",
+        F.round(F.exp("__log")).alias("n_tables"),
+        F.least(p, F.lit(1.0)).alias("p_value"),
     )
-    return tables.select("variable", "n_tables", F.least(p, F.lit(1.0)).alias("p_value"))
 
 
 def category_tests(
@@ -583,5 +615,3 @@ def category_tests(
         .otherwise("Pearson's Chi-squared test, small expected counts")
         .alias("method"),
     )
-
-

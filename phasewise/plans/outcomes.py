@@ -28,12 +28,12 @@ def clean_outcomes(frames: Sequence[DataFrame], timepoints: Sequence[str] = tupl
     Unpivoting before joining replaces the join of the wide exports by the same shuffle.
     """
     suffix = "_(" + "|".join(timepoints) + ")$"
-    long, measures = [], []
+    long, measures = [], set()
     for df in frames:
         names = [c for c in df.columns if c != ID]
         part = unpivot_long(df, [ID], names, dtype="double")
         long.append(part.withColumn("timepoint_name", last_token(F.col("variable"))))
-        measures += [m for m in (_measure(n, timepoints) for n in names) if m not in measures]
+        measures |= {_measure(n, timepoints) for n in names}
     cells = stack(long).select(
         ID,
         "timepoint_name",

@@ -11,14 +11,13 @@ midnight to midnight.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasewise.functions.rowwise import ratio
 from phasewise.operators.aggregates import count_where
-from phasewise.operators.joins import left_join
+from phasewise.operators.joins import merge_unique
 
 DAY = ["pid", "date"]
 DAY_MINUTES = 1440
@@ -560,30 +559,35 @@ def daily_features(
     sleep: DataFrame | None = None,
     segments: Sequence[tuple[str, int, int]] = (("daily", 0, DAY_MINUTES),),
     prefix: str = "fitbit",
+    min_hour_ratio: float = 0.5,
 ) -> DataFrame:
     """The consumed features per participant, day and segment, ready for the calendar."""
     minutes = assign_segments(minute_grid(samples), segments)
     keys = ["pid", "date", "local_segment_label"]
 
-    def named(df: DataFrame, family: str, columns: Sequence[str]) -> DataFrame:
-        return df.select(*keys, *[F.col(c).alias(f"{prefix}_{family}_rapids_{c}") for c in columns])
+    def named(df: DataFrame, family: str, column: str) -> DataFrame:
+        return df.select(*keys, F.col(column).alias(f"{prefix}_{family}_rapids_{column}"))
 
+    wear = data_yield(minutes, keys, min_hour_ratio)
+    heart = minutes.groupBy(*keys).agg(F.avg("heartrate").alias("avghr"))
     parts = [
-        named(data_yield(minutes, keys), "data_yield", ["ratiovalidyieldedhours"]),
-        named(
-            minutes.groupBy(*keys).agg(F.avg("heartrate").alias("avghr")),
-            "heartrate_intraday", ["avghr"],
-        ),
-        named(step_features(clean_steps(minutes), keys), "steps_intraday", ["sumsteps"]),
-    ]
+        named(wear, "data_yield", "ratiovalidyieldedhours"),
+        named(heart, "heartrate_intraday", "avghr"),
+        named(step_features(clean_steps(minutes), keys), "steps_intraday", "sumsteps"),
+    ]
     if sleep is not None:
         night = sleep_summary_features(sleep).withColumn("local_segment_label", F.lit("daily"))
-        parts.append(named(night, "sleep_summary", ["sumdurationasleepall"]))
-    out = reduce(lambda a, b: left_join(a, b, keys), parts)
-    starts = {label: start for label, start, _ in segments}
-    start = F.lit(0)
-    for label, minute in starts.items():
-        start = F.when(F.col("local_segment_label") == label, minute).otherwise(start)
-    midnight = F.col("date").cast("timestamp_ntz")
-    opening = midnight + F.make_dt_interval(mins=start)
-    return out.withColumn("local_segment_start_datetime", opening).drop("date")
+        parts.append(named(night, "sleep_summary", "sumdurationasleepall"))
+    start, length = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for label, begins, lasts in segments:
+        here = F.col("local_segment_label") == label
+        start, length = F.when(here, begins).otherwise(start), F.when(here, lasts).otherwise(length)
+    opening = F.col("date").cast("timestamp_ntz") + F.make_dt_interval(mins=start)
+    closing = opening + F.make_dt_interval(mins=length, secs=F.lit(-1))
+    return (
+        merge_unique(parts, keys)
+        .withColumns(
+            {"local_segment_start_datetime": opening, "local_segment_end_datetime": closing}
+        )
+        .drop("date")
+    )

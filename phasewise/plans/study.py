@@ -148,28 +148,34 @@ def survey_days(surveys: DataFrame) -> DataFrame:
     """Surveys spread over one row per participant, day and phase.
 
     Where two surveys of a kind fall on one day, the earlier one gives duration, score and
-    note.  The spread is an aggregation, so a hot participant shrinks to one row per day
+    note (the smaller survey id where they start together, so that a repeated task picks the
+    same).  The spread is an aggregation, so a hot participant shrinks to one row per day
     before anything is joined.
     """
-    marked = surveys.select(
-        "record_id",
-        "date",
-        F.col("study_phase").alias("phase"),
-        F.lower("survey_type").alias("survey_type"),
-        # A plain timestamp, so that the pick by start time stays a hash aggregation.
-        F.coalesce("survey_start_datetime", F.lit("9999-12-31").cast("timestamp_ntz")).alias(
-            "started"
-        ),
+    kind = F.lower("survey_type")
+    first = F.struct(
+        F.coalesce("survey_start_datetime", F.lit("9999-12-31").cast("timestamp_ntz")).alias("at"),
+        "survey_id",
         F.lit(1).alias("has_survey"),
         "survey_duration",
         "goodness_score",
         "added_note",
     )
+    wide = surveys.groupBy("record_id", "date", F.col("study_phase").alias("phase")).agg(
+        *[F.min(F.when(kind == k, first)).alias(k) for k in KINDS]
+    )
     values = ["has_survey", "survey_duration", "goodness_score", "added_note"]
-    wide = pivot_values(
-        marked, ["record_id", "date", "phase"], "survey_type", KINDS, values, order="started"
+    return wide.select(
+        "record_id",
+        "date",
+        "phase",
+        *[
+            F.col(f"{k}.{v}").alias(f"{v}_{k}")
+            for v in values
+            for k in KINDS
+            if (v, k) != ("goodness_score", "morning")
+        ],
     )
-    return wide.drop("goodness_score_morning")
 
 
 def survey_compliance_days(calendar: DataFrame, surveys: DataFrame) -> DataFrame:

@@ -234,28 +234,16 @@ def phase1_feedback(feedback: DataFrame) -> DataFrame:
 
 # ---- compliance and engagement ---------------------------------------------------------
 
-RATE_LABELS = (
-    (r".*completed_", ""),
-    (r".*surveys_", ""),
-    (r"_", " "),
-    (r"phase", "phase "),
-    (r"overall ", "overall, "),
-    (r"1 ", "1, "),
-    (r"2 ", "2, "),
-)
-
 
 def survey_compliance_table(compliance: DataFrame) -> DataFrame:
     """Completion rates in percent."""
     rates = select_cols(compliance, starts="rate")
     scaled = map_columns(compliance.select("record_id", *rates), rates, percent)
-    variables = [Continuous(r, r, digits=(2, 2, 2, 2)) for r in rates]
-    table = summary_table(scaled, variables)
-    cleaned = F.concat(F.lit("\t"), text.clean_label(F.col("label"), RATE_LABELS))
-    table = table.withColumn(
-        "label", F.when(F.col("row_type") == "label", cleaned).otherwise(F.col("label"))
+    labels = codebook.SURVEY_RATE_LABELS
+    variables = [Continuous(r, labels.get(r, r), (2, 2, 2, 2), indent="\t") for r in rates]
+    return with_headers(
+        summary_table(scaled, variables), variables, codebook.SURVEY_COMPLIANCE_HEADERS
     )
-    return with_headers(table, variables, codebook.SURVEY_COMPLIANCE_HEADERS)
 
 
 def device_compliance_table(compliance: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ def local_session(app: str = "phasewise", cores: str = "8", memory: str = "8g")
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .getOrCreate()
