@@ -7,7 +7,7 @@ at most one projection however many columns it touches.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +109,15 @@ def map_columns(df: DataFrame, names: Iterable[str], fn: Callable[[Column], Colu
     return df.withColumns({n: fn(F.col(n)) for n in names})
 
 
+def bind(values: Mapping[str, Column], body: Callable[[dict[str, Column]], Column]) -> Column:
+    """Compute some values once and hand them to ``body`` by name.
+
+    Keeps nested formulas small: a Column is an expression tree, so using one twice copies it.
+    """
+    bound = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
+    return F.get(F.transform(bound, lambda s: body({k: s[k] for k in values})), F.lit(0))
+
+
 def require(df: DataFrame, names: Iterable[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

@@ -7,10 +7,13 @@ on result rows (one per outcome), never on participant data.
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from phasewise.functions.columns import bind
+
 # Lanczos coefficients for g = 7 and nine terms.
 LANCZOS_G = 7.0
 LANCZOS = (
@@ -26,11 +29,8 @@ LANCZOS = (
 )
 
 TINY = 1e-300
-FRACTION_STEPS = 300
-SERIES_STEPS = 400
-BISECTIONS = 60
-# Above this many degrees of freedom t is normal and F is chi-square to well below 1e-6, and
-# the continued fraction would need more steps than are taken here.
+NEWTON_STEPS = 6
+# Above this many degrees of freedom t is normal and F is chi-square to well below 1e-6.
 LARGE_DF = 1_000_000.0
 
 
@@ -38,15 +38,6 @@ def _d(x) -> Column:
     return x.cast("double") if isinstance(x, Column) else F.lit(float(x))
 
 
-def _let(values: dict[str, Column], body) -> Column:
-    """Compute some values once and hand them to ``body`` by name.
-
-    Keeps nested formulas small: a Column is an expression tree, so using one twice copies it.
-    """
-    bound = F.array(F.struct(*[v.alias(k) for k, v in values.items()]))
-    return F.get(F.transform(bound, lambda s: body({k: s[k] for k in values})), F.lit(0))
-
-
 def log_gamma(x: Column) -> Column:
     """Logarithm of the gamma function for positive arguments."""
     series = F.lit(LANCZOS[0])
@@ -64,14 +55,19 @@ def _safe(x: Column) -> Column:
     return F.when(F.abs(x) < TINY, F.lit(TINY)).otherwise(x)
 
 
-def _iterate(init: dict[str, Column], steps: int, step, result) -> Column:
+def _steps(a: Column) -> Column:
+    """Terms to take: series and fractions here settle after some multiple of sqrt(a)."""
+    return (30 + 6 * F.sqrt(a)).cast("int")
+
+
+def _iterate(init: dict[str, Column], steps: Column, step, result) -> Column:
     """Run ``step(state, i)`` for i = 1..steps over a struct of doubles."""
 
     def pack(values: dict[str, Column]) -> Column:
         return F.struct(*[v.cast("double").alias(k) for k, v in values.items()])
 
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(steps)),
+        F.sequence(F.lit(1), steps),
         pack(init),
         lambda s, i: pack(step({k: s[k] for k in init}, i.cast("double"))),
         lambda s: result({k: s[k] for k in init}),
@@ -91,12 +87,13 @@ def _beta_fraction(x: Column, a: Column, b: Column) -> Column:
         c2 = _safe(1 + odd / c1)
         return {"c": c2, "d": d2, "h": s["h"] * d1 * c1 * d2 * c2}
 
-    return _iterate({"c": F.lit(1.0), "d": d0, "h": d0}, FRACTION_STEPS, step, lambda s: s["h"])
+    steps = _steps(F.greatest(a, b))
+    return _iterate({"c": F.lit(1.0), "d": d0, "h": d0}, steps, step, lambda s: s["h"])
 
 
 def beta_inc(x: Column, a: Column, b: Column) -> Column:
     """Regularised incomplete beta function I_x(a, b)."""
-    return _let({"x": _d(x), "a": _d(a), "b": _d(b)}, _beta_by_side)
+    return bind({"x": _d(x), "a": _d(a), "b": _d(b)}, _beta_by_side)
 
 
 def _beta_by_side(v) -> Column:
@@ -113,15 +110,15 @@ def _beta_by_side(v) -> Column:
         x, a, b = s["x"], s["a"], s["b"]
         log_front = log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(1 - x)
         part = F.exp(log_front) / a * _beta_fraction(x, a, b)
-        return _let({"p": part}, lambda q: F.when(s["flip"], 1 - q["p"]).otherwise(q["p"]))
+        return bind({"p": part}, lambda q: F.when(s["flip"], 1 - q["p"]).otherwise(q["p"]))
 
-    inside = F.when(v["x"].isNotNull(), _let(sides, body))
+    inside = F.when(v["x"].isNotNull(), bind(sides, body))
     return F.when(v["x"] <= 0, 0.0).when(v["x"] >= 1, 1.0).otherwise(inside)
 
 
 def chi2_sf(x: Column, df: Column) -> Column:
     """P(chi-square with df degrees of freedom > x)."""
-    return _let({"y": _d(x) / 2, "a": _d(df) / 2}, lambda v: _gamma_upper(v["a"], v["y"]))
+    return bind({"y": _d(x) / 2, "a": _d(df) / 2}, lambda v: _gamma_upper(v["a"], v["y"]))
 
 
 def _gamma_upper(a: Column, y: Column) -> Column:
@@ -129,7 +126,7 @@ def _gamma_upper(a: Column, y: Column) -> Column:
     front = F.exp(-y + a * F.log(y) - log_gamma(a))
     series = _iterate(
         {"term": 1 / a, "sum": 1 / a},
-        SERIES_STEPS,
+        _steps(a),
         lambda s, n: {
             "term": s["term"] * y / (a + n),
             "sum": s["sum"] + s["term"] * y / (a + n),
@@ -146,7 +143,7 @@ def _gamma_upper(a: Column, y: Column) -> Column:
 
     d0 = 1 / _safe(y + 1 - a)
     fraction = _iterate(
-        {"c": F.lit(1 / TINY), "d": d0, "h": d0}, SERIES_STEPS, step, lambda s: s["h"]
+        {"c": F.lit(1 / TINY), "d": d0, "h": d0}, _steps(a), step, lambda s: s["h"]
     )
     inside = F.when(y < a + 1, 1 - front * series).otherwise(front * fraction)
     return F.when(y <= 0, 1.0).when(y.isNotNull(), inside)
@@ -165,7 +162,7 @@ def f_sf(f: Column, df1: Column, df2: Column) -> Column:
         small = beta_inc(df2 / (df2 + df1 * f), df2 / 2, df1 / 2)
         return F.when(df2 > LARGE_DF, chi2_sf(f * df1, df1)).otherwise(small)
 
-    return _let({"f": _d(f), "n": _d(df1), "d": _d(df2)}, body)
+    return bind({"f": _d(f), "n": _d(df1), "d": _d(df2)}, body)
 
 
 def t_two_sided(t: Column, df: Column) -> Column:
@@ -174,23 +171,31 @@ def t_two_sided(t: Column, df: Column) -> Column:
 
 
 def t_quantile(level: float, df: Column) -> Column:
-    """The t with P(|T| <= t) = level, by bisection on t / (1 + t)."""
-    df = _d(df)
-    tail = 1 - level
-
-    def halve(s, _):
-        return _let({"mid": (s["lo"] + s["hi"]) / 2, "lo": s["lo"], "hi": s["hi"]}, choose)
+    """The t with P(|T| <= t) = level.
 
-    def choose(v) -> Column:
-        mid = v["mid"]
-        above = t_two_sided(mid / (1 - mid), df) > tail
-        up = F.struct(mid.alias("lo"), v["hi"].alias("hi"))
-        down = F.struct(v["lo"].alias("lo"), mid.alias("hi"))
-        return F.when(above, up).otherwise(down)
+    Closed forms for one and two degrees of freedom; else Newton steps from the expansion
+    around the normal quantile.  The tail is convex, so the steps close in from below.
+    """
+    z = NormalDist().inv_cdf((1 + level) / 2)
+    tail = 1 - level
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(BISECTIONS)),
-        F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi")),
-        halve,
-        lambda s: (s["lo"] + s["hi"]) / (2 - s["lo"] - s["hi"]),
-    )
+    def density(t: Column, df: Column) -> Column:
+        log_front = log_gamma((df + 1) / 2) - log_gamma(df / 2) - 0.5 * F.log(df * math.pi)
+        return F.exp(log_front - (df + 1) / 2 * F.log(1 + t * t / df))
+
+    def refine(df: Column) -> Column:
+        start = z + F.lit((z**3 + z) / 4) / df + F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96) / df**2
+        return F.aggregate(
+            F.sequence(F.lit(1), F.lit(NEWTON_STEPS)),
+            start,
+            lambda t, _: t + (t_two_sided(t, df) - tail) / (2 * density(t, df)),
+        )
+
+    def by_df(v) -> Column:
+        return (
+            F.when(v["df"] == 1, math.tan(math.pi * level / 2))
+            .when(v["df"] == 2, level * math.sqrt(2 / (1 - level**2)))
+            .when(v["df"] > 2, refine(v["df"]))
+        )
+
+    return bind({"df": _d(df)}, by_df)

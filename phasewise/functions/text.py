@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phasewise.functions.columns import bind
 from phasewise.functions.recode import sentence_case
 
 
@@ -36,9 +37,16 @@ def pretty_join(
     if sort:
         items = F.array_sort(items)
     if other_last:
-        is_other = lambda x: x.rlike("(Other|other)$")
-        items = F.concat(F.filter(items, lambda x: ~is_other(x)), F.filter(items, is_other))
-    n = F.size(items)
+        items = bind({"items": items}, lambda v: _other_last(v["items"]))
+    return bind({"items": items, "n": F.size(items)}, lambda v: _in_words(v["items"], v["n"]))
+
+
+def _other_last(items: Column) -> Column:
+    is_other = lambda x: x.rlike("(Other|other)$")
+    return F.concat(F.filter(items, lambda x: ~is_other(x)), F.filter(items, is_other))
+
+
+def _in_words(items: Column, n: Column) -> Column:
     head = F.slice(items, F.lit(1), F.greatest(n - 2, F.lit(0)))
     tail = F.slice(items, F.greatest(n - 1, F.lit(1)), F.lit(2))
     lead = F.when(n > 2, F.concat(F.array_join(head, ", "), F.lit(", "))).otherwise("")
@@ -60,9 +68,10 @@ def name_by_pattern(col: Column, rules: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
-def fixed(col: Column, decimals: int) -> Column:
+def fixed(col: Column, decimals: int | Column) -> Column:
     """Fixed number of decimals with thousands separators."""
-    return F.format_number(col.cast("double"), decimals)
+    places = decimals if isinstance(decimals, Column) else F.lit(decimals)
+    return F.call_function("format_number", col.cast("double"), places)
 
 
 def plain_number(col: Column, decimals: int = 2) -> Column:
@@ -86,7 +95,11 @@ def range_text(low: Column, high: Column, decimals: int = 2) -> Column:
 
 
 def summary_text(
-    mean: Column, sd: Column, low: Column, high: Column, digits: Sequence[int] = (1, 1, 0, 0)
+    mean: Column,
+    sd: Column,
+    low: Column,
+    high: Column,
+    digits: Sequence[int | Column] = (1, 1, 0, 0),
 ) -> Column:
     """``mean (sd) [min, max]``; a missing statistic is written NA."""
     texts = [

@@ -7,6 +7,7 @@ that is arithmetic on one row per outcome.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasewise.functions import distributions as dist
-from phasewise.functions.columns import require
+from phasewise.functions.columns import bind, require
 from phasewise.functions.rowwise import with_differences
 from phasewise.operators.joins import merge_unique
 from phasewise.operators.ranks import mid_ranks, value_counts
@@ -485,76 +486,86 @@ def cross_counts(df: DataFrame, variables: Sequence[str], group: str) -> DataFra
 def chi_square_tests(counts: DataFrame) -> DataFrame:
     """Pearson chi-square without continuity correction, per variable.
 
-    Rows: variable, statistic, df, min_expected, p_value.  Only cells that occur are rows; an
-    empty cell adds its expected count, and what all empty cells expect is the total less
-    what the occurring cells expect.
+    Rows: variable, statistic, df, min_expected, p_value.  Uses that the statistic equals
+    N * (sum o^2 / (level total * stratum total) - 1), to which empty cells add nothing: a
+    chain of three aggregates, by level, by stratum, by variable, without any join.
     """
-    levels = counts.groupBy("variable", "level").agg(F.sum("n").alias("level_n"))
-    groups = counts.groupBy("variable", "by").agg(F.sum("n").alias("group_n"))
-    sizes = levels.groupBy("variable").agg(
-        F.count("*").alias("n_levels"),
+    levels = counts.groupBy("variable", "level").agg(
+        F.sum("n").cast("double").alias("level_n"),
+        # One entry per stratum.
+        F.collect_list(F.struct("by", F.col("n").cast("double").alias("n"))).alias("cells"),
+    )
+    cells = levels.select("variable", "level_n", F.posexplode("cells").alias("place", "cell"))
+    o = F.col("cell.n")
+    strata = cells.groupBy("variable", "cell.by").agg(
+        F.sum(o * o / F.col("level_n")).alias("q"),
+        F.sum(o).alias("stratum_n"),
         F.min("level_n").alias("least_level"),
-        F.sum("level_n").cast("double").alias("total"),
+        F.count_if(F.col("place") == 0).alias("n_levels"),
     )
-    strata = groups.groupBy("variable").agg(
-        F.count("*").alias("n_groups"), F.min("group_n").alias("least_group")
-    )
-    margins = sizes.join(strata, "variable")
-    expected = F.col("level_n").cast("double") * F.col("group_n") / F.col("total")
-    off = F.col("n") - F.col("e")
-    cells = (
-        counts.join(levels, ["variable", "level"])
-        .join(groups, ["variable", "by"])
-        .join(margins, "variable")
-        .withColumn("e", expected)
-    )
-    fit = cells.groupBy("variable", *[c for c in margins.columns if c != "variable"]).agg(
-        F.sum(off * off / F.col("e")).alias("__seen"), F.sum("e").alias("__e")
+    total = F.sum("stratum_n")
+    return (
+        strata.groupBy("variable")
+        .agg(
+            F.greatest(
+                total * (F.sum(F.col("q") / F.col("stratum_n")) - 1), F.lit(0.0)
+            ).alias("statistic"),
+            ((F.sum("n_levels") - 1) * (F.count("*") - 1)).cast("double").alias("df"),
+            (F.min("least_level") * F.min("stratum_n") / total).alias("min_expected"),
+        )
+        .withColumn("p_value", dist.chi2_sf(F.col("statistic"), F.col("df")))
     )
-    smallest = F.col("least_level") * F.col("least_group") / F.col("total")
-    return fit.select(
-        "variable",
-        (F.col("__seen") + F.greatest(F.col("total") - F.col("__e"), F.lit(0.0))).alias("statistic"),
-        ((F.col("n_levels") - 1) * (F.col("n_groups") - 1)).cast("double").alias("df"),
-        smallest.alias("min_expected"),
-    ).withColumn("p_value", dist.chi2_sf(F.col("statistic"), F.col("df")))
 
 
 def fisher_tests(
-    counts: DataFrame, first: str, max_tables: int = FISHER_TABLES
+    counts: DataFrame,
+    first: str,
+    max_tables: int = FISHER_TABLES,
+    only_below: float | None = None,
 ) -> DataFrame:
     """Fisher's exact test of levels against two groups, per variable.
 
     All tables with the observed margins are enumerated level by level on the one result row
     of the variable; the largest level takes what is left, so it multiplies nothing.  A
-    variable with more than ``max_tables`` of them gets no p-value (``n_tables`` tells), and
-    callers fall back to chi-square.  Levels are gathered only within that bound, which a
-    level of any size at least doubles: there are at most log2(max_tables) + 1 of them.
+    variable with more than ``max_tables`` of them gets no p-value, and callers fall back to
+    chi-square.  Every level at least doubles the tables, so levels are gathered only up to
+    log2(max_tables) + 1 of them.  ``only_below`` skips variables whose smallest expected
+    count is not below it.
     """
     level = counts.groupBy("variable", "level").agg(
         F.sum("n").alias("r"),
         F.sum(F.when(F.col("by") == first, F.col("n")).otherwise(0)).alias("a"),
     )
     total = level.groupBy("variable").agg(
-        F.sum("a").alias("c1"), F.sum("r").alias("total"), F.max("r").alias("__largest")
-    )
-    choices = F.log(F.least(F.col("r"), F.col("c1")) + 1)
-    known = level.join(total, "variable")
-    sized = known.groupBy("variable", "c1", "total").agg(
-        # The largest level is determined by the others.
-        (F.sum(choices) - F.max(F.when(F.col("r") == F.col("__largest"), choices))).alias("__log"),
-    )
-    within = F.col("__log") <= F.log(F.lit(float(max_tables))) + 1e-9
+        F.sum("a").alias("c1"),
+        F.sum("r").alias("total"),
+        F.min("r").alias("__least"),
+        F.count("*").alias("__levels"),
+    )
+    listable = F.col("__levels") <= math.floor(math.log2(max_tables)) + 1
+    if only_below is not None:
+        smaller = F.least(F.col("c1"), F.col("total") - F.col("c1"))
+        listable = listable & (F.col("__least") * smaller / F.col("total") < only_below)
     listed = (
-        known.join(sized.filter(within).select("variable"), "variable", "left_semi")
-        .groupBy("variable")
-        .agg(F.sort_array(F.collect_list(F.struct("r", "level", "a"))).alias("rows"))
+        level.join(total, "variable")
+        .groupBy("variable", "c1", "total")
+        .agg(
+            F.sort_array(
+                F.collect_list(F.when(listable, F.struct("r", "level", "a")))
+            ).alias("rows")
+        )
     )
-    tables = sized.join(listed, "variable", "left")
 
     def log_choose(n: Column, x: Column) -> Column:
         return dist.log_factorial(n) - dist.log_factorial(x) - dist.log_factorial(n - x)
 
+    # The largest level is determined by the others.
+    free = F.slice("rows", F.lit(1), F.size("rows") - 1)
+    n_tables = F.aggregate(
+        free, F.lit(1.0), lambda acc, r: acc * (F.least(r["r"], F.col("c1")) + 1).cast("double")
+    )
+    tables = listed.withColumn("n_tables", F.when(F.size("rows") > 0, n_tables))
+
     def place(states: Column, r: Column) -> Column:
         """Give the level every possible count of the first group."""
         return F.flatten(
@@ -571,31 +582,36 @@ def fisher_tests(
 
     start = F.array(F.struct(F.col("c1").alias("left"), F.lit(0.0).alias("lp")))
     largest = F.element_at("rows", -1)["r"]
-    placed = F.aggregate(F.slice("rows", F.lit(1), F.size("rows") - 1), start, place)
     fitting = F.transform(
-        F.filter(placed, lambda s: s["left"] <= largest),
+        F.filter(F.aggregate(free, start, place), lambda s: s["left"] <= largest),
         lambda s: s["lp"] + log_choose(largest, s["left"]),
     )
     observed = F.aggregate("rows", F.lit(0.0), lambda acc, r: acc + log_choose(r["r"], r["a"]))
-    tables = tables.withColumns(
-        {"__logs": fitting, "__obs": observed, "__base": log_choose(F.col("total"), F.col("c1"))}
-    )
-    p = F.aggregate(
-        F.filter("__logs", lambda lp: lp <= F.col("__obs") + 1e-7),
-        F.lit(0.0),
-        lambda acc, lp: acc + F.exp(lp - F.col("__base")),
+    known = {
+        "logs": fitting, "seen": observed, "base": log_choose(F.col("total"), F.col("c1"))
+    }
+    p = bind(
+        known,
+        lambda v: F.aggregate(
+            F.filter(v["logs"], lambda lp: lp <= v["seen"] + 1e-7),
+            F.lit(0.0),
+            lambda acc, lp: acc + F.exp(lp - v["base"]),
+        ),
     )
     return tables.select(
         "variable",
-        F.round(F.exp("__log")).alias("n_tables"),
-        F.least(p, F.lit(1.0)).alias("p_value"),
+        "n_tables",
+        F.when(F.col("n_tables") <= max_tables, F.least(p, F.lit(1.0))).alias("p_value"),
     )
 
 
 def category_tests(
-    df: DataFrame, variables: Sequence[str], group: str, first: str,
+    df: DataFrame,
+    variables: Sequence[str],
+    group: str,
+    first: str,
     max_tables: int = FISHER_TABLES,
-) -> DataFrame:
+) -> DataFrame:
     """Chi-square where every expected count is at least 5, else Fisher's exact test.
 
     Where Fisher's test would need too many tables the chi-square p-value is kept and the
@@ -603,7 +619,9 @@ def category_tests(
     """
     counts = cross_counts(df, variables, group)
     chi = chi_square_tests(counts)
-    exact = fisher_tests(counts, first, max_tables).withColumnRenamed("p_value", "__exact")
+    exact = fisher_tests(counts, first, max_tables, only_below=5).withColumnRenamed(
+        "p_value", "__exact"
+    )
     sparse = F.col("min_expected") < 5
     return chi.join(exact, "variable").select(
         "variable",

@@ -69,14 +69,18 @@ def _aggregates(i: int, v: Variable) -> list[Column]:
     ]
 
 
-def _row(v: Variable, order: float, kind: str, label: str, n: Column, stat: Column) -> Column:
+def _row(v: Variable, order: float, kind: str, label: str, **numbers: Column) -> Column:
+    """One table row in numbers; texts are made once, after the rows are spread."""
+    digits = v.digits if isinstance(v, Continuous) else (None,) * 4
+    fields = ("n", "total", "mean", "sd", "low", "high")
+    absent = F.lit(None).cast("double")
     return F.struct(
         F.lit(v.name).alias("variable"),
         F.lit(kind).alias("row_type"),
         F.lit(v.indent + label).alias("label"),
         F.lit(order).alias("row_order"),
-        n.cast("long").alias("n"),
-        stat.alias("stat"),
+        *[numbers.get(f, absent).cast("double").alias(f) for f in fields],
+        *[F.lit(d).cast("int").alias(f"d{i}") for i, d in enumerate(digits)],
     )
 
 
@@ -84,20 +88,36 @@ def _rows(i: int, v: Variable, missing: bool) -> list[Column]:
     at = (i + 1) * STEP
     n = F.col(f"v{i}_n")
     if isinstance(v, Continuous):
-        parts = [F.col(f"v{i}_{s}") for s in ("mean", "sd", "min", "max")]
-        rows = [_row(v, at, "label", v.label, n, text.summary_text(*parts, digits=v.digits))]
+        mean, sd, low, high = (F.col(f"v{i}_{s}") for s in ("mean", "sd", "min", "max"))
+        rows = [_row(v, at, "label", v.label, n=n, mean=mean, sd=sd, low=low, high=high)]
     else:
-        rows = [_row(v, at, "label", v.label, n, F.lit(None).cast("string"))]
+        rows = [_row(v, at, "label", v.label, n=n)]
         for j, level in enumerate(v.levels):
-            count = F.col(f"v{i}_l{j}")
-            shown = text.count_text(count, n)
-            rows.append(_row(v, at + j + 1, "level", level, count, shown))
+            rows.append(_row(v, at + j + 1, "level", level, n=F.col(f"v{i}_l{j}"), total=n))
     if missing:
-        absent = F.col(f"v{i}_na")
-        rows.append(_row(v, at + STEP - 1, "missing", "Unknown", absent, text.fixed(absent, 0)))
+        rows.append(_row(v, at + STEP - 1, "missing", "Unknown", n=F.col(f"v{i}_na")))
     return rows
 
 
+def _spread_rows(stats: DataFrame, variables: Sequence[Variable], missing: bool) -> DataFrame:
+    """The one row of statistics (per stratum) as table rows with their text."""
+    cells = F.array(*[r for i, v in enumerate(variables) for r in _rows(i, v, missing)])
+    strata = [c for c in stats.columns if c == "__by"]
+    long = stats.select(*strata, F.inline(cells))
+    numbers = [F.col(c) for c in ("mean", "sd", "low", "high")]
+    digits = [F.col(f"d{i}") for i in range(4)]
+    kind = F.col("row_type")
+    stat = (
+        F.when(kind == "missing", text.fixed(F.col("n"), 0))
+        .when(kind == "level", text.count_text(F.col("n"), F.col("total")))
+        .when(F.col("d0").isNotNull(), text.summary_text(*numbers, digits=digits))
+    )
+    return long.select(
+        *strata, "variable", kind, "label", "row_order", F.col("n").cast("long").alias("n"),
+        stat.alias("stat"),
+    )
+
+
 def summary_table(
     df: DataFrame,
     variables: Sequence[Variable],
@@ -113,15 +133,15 @@ def summary_table(
     off.  ``tests`` (two strata) adds rank-sum or chi-square/Fisher p-values.
     """
     aggs = [a for i, v in enumerate(variables) for a in _aggregates(i, v)]
-    cells = F.array(*[r for i, v in enumerate(variables) for r in _rows(i, v, missing)])
     ids = ["variable", "row_type", "label", "row_order"]
     if by is None:
-        table = df.agg(*aggs).select(F.inline(cells))
-        table = table.withColumnsRenamed({"n": "n_0", "stat": "stat_0"})
+        table = _spread_rows(df.agg(*aggs), variables, missing).withColumnsRenamed(
+            {"n": "n_0", "stat": "stat_0"}
+        )
         shown = F.col("n_0") > 0
     else:
         strata = df.filter(F.col(by).isin(*by_levels)).groupBy(F.col(by).alias("__by")).agg(*aggs)
-        long = strata.select("__by", F.inline(cells))
+        long = _spread_rows(strata, variables, missing)
         place = {level: i + 1 for i, level in enumerate(by_levels)}
         table = pivot_values(
             long, ids, "__by", by_levels, ["n", "stat"],

@@ -30,6 +30,9 @@ def local_session(app: str = "phasewise", cores: str = "8", memory: str = "8g")
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        # Plans here are built from many small expressions; recording the Python line of each
+        # takes longer than planning them.  A static setting: clusters give it at submission.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
