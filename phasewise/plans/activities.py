@@ -13,7 +13,6 @@ from phasewise.functions.rowwise import ratio
 from phasewise.operators import filters
 from phasewise.operators.aggregates import (
     count_where,
-    distinct_counts,
     level_and_overall,
     stat_columns,
 )
@@ -181,43 +180,63 @@ def activity_selection_summary(selected1: DataFrame, selected2: DataFrame) -> Da
     )
 
 
+def _where(level: str, value: Column) -> Column:
+    return F.when(F.col(level), value)
+
+
 def endorsement_summary(endorsed: DataFrame) -> DataFrame:
-    """Endorsements and ratings per participant, and daily figures averaged over days."""
+    """Endorsements and ratings per participant, and daily figures averaged over days.
+
+    One pass: rows are grouped three ways at once (by activity, by survey, by day of the
+    participant), and each participant's groups are then reduced to one row.  Counting
+    groups counts distinct activities and surveys, a missing one included.  The first
+    grouping never keys on the participant alone, which spreads a hot one.
+    """
     rows = endorsed.withColumnsRenamed({"pId": ID, "activityId": "activity_id"})
-    rating = F.col("activity_rating")
-    person = rows.groupBy(ID).agg(
+    rating = F.col("activity_rating").cast("double")
+    item, survey, day = "activity_id", "survey_id_daily", "date"
+    grouped = rows.groupingSets(
+        [[ID, item], [ID, survey], [ID, day]], ID, item, survey, day
+    ).agg(
+        (F.grouping(item) == 0).alias("by_activity"),
+        (F.grouping(survey) == 0).alias("by_survey"),
+        (F.grouping(day) == 0).alias("by_day"),
         F.sum("endorsed").alias("total_endorsed"),
-        F.count("activity_rating").alias("total_rated"),
-        *stat_columns("activity_rating", ("mean", "sd", "min", "max")),
-    )
-    unique = distinct_counts(
-        rows,
-        [ID],
-        "activity_id",
-        {"unique_endorsed": None, "unique_rated": rating.isNotNull()},
-        count_missing=True,
+        F.count(rating).alias("total_rated"),
+        *stat_columns("activity_rating", ("mean", "min", "max")),
+        F.sum(rating).alias("sum1"),
+        F.sum(rating * rating).alias("sum2"),
     )
-    surveys = distinct_counts(
-        rows, [ID], "survey_id_daily", {"daily_surveys": None}, count_missing=True
+    grouped = grouped.withColumn(
+        "endorsed_activity_rating_rate", ratio(F.col("total_rated"), F.col("total_endorsed"))
     )
-    daily = (
-        rows.groupBy(ID, "date")
-        .agg(
-            F.sum("endorsed").alias("total_endorsed"),
-            F.count("activity_rating").alias("total_rated"),
-            *stat_columns("activity_rating", ("mean", "min", "max")),
-        )
-        .withColumn(
-            "endorsed_activity_rating_rate",
-            ratio(F.col("total_rated"), F.col("total_endorsed")),
-        )
+    measures = [
+        "total_endorsed", "total_rated", "activity_rating_mean", "activity_rating_min",
+        "activity_rating_max", "endorsed_activity_rating_rate",
+    ]
+    person = grouped.groupBy(ID).agg(
+        *[F.sum(_where("by_day", F.col(c))).alias(c) for c in ("total_endorsed", "total_rated")],
+        *[F.sum(_where("by_day", F.col(c))).alias(c) for c in ("sum1", "sum2")],
+        F.min(_where("by_day", F.col("activity_rating_min"))).alias("activity_rating_min"),
+        F.max(_where("by_day", F.col("activity_rating_max"))).alias("activity_rating_max"),
+        F.count_if("by_activity").alias("unique_endorsed"),
+        F.count_if(F.col("by_activity") & (F.col("total_rated") > 0)).alias("unique_rated"),
+        F.count_if("by_survey").alias("daily_surveys"),
+        *[
+            a
+            for c in measures
+            for a in stat_columns(c, ("mean", "sd", "min", "max"), only=F.col("by_day"))
+        ],
     )
-    measures = [c for c in daily.columns if c not in (ID, "date")]
-    over_days = daily.groupBy(ID).agg(
-        *[a for c in measures for a in stat_columns(c, ("mean", "sd", "min", "max"))]
+    n, total = F.col("total_rated"), F.col("sum1")
+    spread = F.greatest(F.col("sum2") - total * total / n, F.lit(0.0))
+    with_rating = person.withColumns(
+        {
+            "activity_rating_mean": F.when(n > 0, total / n),
+            "activity_rating_sd": F.when(n > 1, F.sqrt(spread / (n - 1))),
+        }
     )
-    merged = person.join(unique, ID).join(surveys, ID).join(over_days, ID)
-    return prefix_columns(merged, "phase1_", keep=[ID])
+    return prefix_columns(with_rating.drop("sum1", "sum2"), "phase1_", keep=[ID])
 
 
 def _planned_completed_cells(planned: DataFrame, completed: DataFrame) -> DataFrame:
@@ -282,33 +301,41 @@ def completion_summary(planned: DataFrame, completed: DataFrame) -> DataFrame:
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
 
-    daily = cells.groupBy(ID, "date", "has_morning", "has_evening").agg(
-        *[total(cond).alias(f"total_{name}") for name, cond in totals.items()]
+    # By day and by activity at once; counting an activity's groups counts it once.
+    item, day = "activity_id", "date"
+    grouped = cells.groupingSets([[ID, day], [ID, item]], ID, day, item).agg(
+        (F.grouping(day) == 0).alias("by_day"),
+        (F.grouping(item) == 0).alias("by_activity"),
+        F.max("has_morning").alias("has_morning"),
+        F.max("has_evening").alias("has_evening"),
+        *[total(cond).alias(f"total_{name}") for name, cond in totals.items()],
     )
-    morning, evening = F.col("has_morning") == 1, F.col("has_evening") == 1
-    daily = daily.withColumn(
-        "planned_activity_completion_rate",
-        F.when(
-            morning & evening,
-            ratio(F.col("total_planned_and_completed"), F.col("total_planned")),
-        ),
+    morning = F.col("by_day") & (F.col("has_morning") == 1)
+    evening = F.col("by_day") & (F.col("has_evening") == 1)
+    rate = ratio(F.col("total_planned_and_completed"), F.col("total_planned"))
+    grouped = grouped.withColumn(
+        "planned_activity_completion_rate", F.when(morning & evening, rate)
     )
-    # One row per day, so day counts are plain counts and everything sums from one shuffle.
-    person = daily.groupBy(ID).agg(
+
+    def met(name: str) -> Column:
+        return F.col("by_activity") & F.col(item).isNotNull() & (F.col(f"total_{name}") > 0)
+
+    # The lists are cells of the result, bounded by the catalogue of activities.
+    person = grouped.groupBy(ID).agg(
         count_where(morning).alias("morning_surveys"),
         count_where(evening).alias("evening_surveys"),
         count_where(morning & evening).alias("morning_and_evening_surveys"),
-        *[F.sum(f"total_{name}").alias(f"total_{name}") for name in totals],
+        *[F.sum(_where("by_day", F.col(f"total_{k}"))).alias(f"total_{k}") for k in totals],
         *stat_columns("planned_activity_completion_rate"),
+        *[count_where(met(k)).alias(f"unique_{k}") for k in kinds],
+        *[
+            F.array_join(F.array_sort(F.collect_list(F.when(met(k), F.col(item)))), ", ").alias(
+                f"unique_{k}_list"
+            )
+            for k in kinds
+        ],
     )
-    unique = distinct_counts(
-        cells,
-        [ID],
-        "activity_id",
-        {f"unique_{name}": cond for name, cond in kinds.items()},
-        lists=True,
-    )
-    return prefix_columns(left_join(person, unique, [ID], null_safe=True), "phase2_", keep=[ID])
+    return prefix_columns(person, "phase2_", keep=[ID])
 
 
 def activity_engagement(
