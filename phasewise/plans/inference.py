@@ -296,24 +296,31 @@ def repeated_measures_anova(
     """
     k = len(times)
     stats = _moments(complete_profiles(df, outcomes, time, id, times), k)
-    return _anova_columns(stats, times)
+    return _anova_columns(stats, times).select("outcome", "n", *_anova_names(times))
+
+
+ANOVA = (
+    "anova_DFn", "anova_DFd", "anova_F", "anova_p", "anova_ges", "sphericity_W", "sphericity_p",
+    "correction_GGe", "correction_DFn_GG", "correction_DFd_GG", "correction_p_GG",
+    "correction_HFe", "correction_DFn_HF", "correction_DFd_HF", "correction_p_HF",
+)
 
 
 def _anova_columns(stats: DataFrame, times: Sequence) -> DataFrame:
+    """ANOVA columns and summaries per timepoint beside the moments."""
     k = len(times)
     out = _with_corrections(_with_sphericity(_with_anova(stats, k), k))
-    summaries = [
-        F.col(f"{short}{i}").alias(f"{stat}_{t}")
-        for stat, short in (("mean", "m"), ("sd", "s"), ("min", "lo"), ("max", "hi"))
-        for i, t in enumerate(times)
-    ]
-    return out.select(
-        "outcome", "n", "anova_DFn", "anova_DFd", "anova_F", "anova_p", "anova_ges",
-        "sphericity_W", "sphericity_p",
-        "correction_GGe", "correction_DFn_GG", "correction_DFd_GG", "correction_p_GG",
-        "correction_HFe", "correction_DFn_HF", "correction_DFd_HF", "correction_p_HF",
-        *summaries,
-    )
+    return out.withColumns(
+        {
+            f"{stat}_{t}": F.col(f"{short}{i}")
+            for stat, short in (("mean", "m"), ("sd", "s"), ("min", "lo"), ("max", "hi"))
+            for i, t in enumerate(times)
+        }
+    )
+
+
+def _anova_names(times: Sequence) -> list[str]:
+    return [*ANOVA, *[f"{s}_{t}" for s in ("mean", "sd", "min", "max") for t in times]]
 
 
 def adjust_p(
@@ -351,7 +358,11 @@ def adjust_p(
 
 
 def _pairwise_columns(
-    stats: DataFrame, times: Sequence, comparisons: Sequence, p_adjust: str = "none"
+    stats: DataFrame,
+    times: Sequence,
+    comparisons: Sequence,
+    p_adjust: str = "none",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Comparison rows (later, earlier) with the difference later minus earlier."""
     at = {t: i for i, t in enumerate(times)}
@@ -368,12 +379,13 @@ def _pairwise_columns(
                 F.col(f"ds{a}{b}").alias("__sd"),
             )
         )
-    rows = _t_results(stats.select("outcome", "n", F.inline(F.array(*cells))))
+    rows = _t_results(stats.select("outcome", "n", *keep, F.inline(F.array(*cells))))
     return adjust_p(rows, "p_value", ["outcome"], p_adjust).select(
         "outcome",
+        "n",
+        *keep,
         "ttest_group1",
         "ttest_group2",
-        "n",
         F.col("mean_difference").alias("ttest_estimate"),
         F.col("t").alias("ttest_statistic"),
         F.col("df").alias("ttest_df"),
@@ -413,9 +425,9 @@ def anova_with_comparisons(
     """ANOVA and pairwise tests together: one row per outcome and comparison."""
     stats = _moments(complete_profiles(df, outcomes, time, id, times), len(times))
     anova = _anova_columns(stats, times)
-    pairs = _pairwise_columns(stats, times, comparisons, p_adjust).drop("n")
+    rows = _pairwise_columns(anova, times, comparisons, p_adjust, keep=_anova_names(times))
     formula = F.concat(F.col("outcome"), F.lit(f" ~ {time}"))
-    return anova.join(pairs, "outcome").withColumns(
+    return rows.withColumns(
         {
             "anova_formula": F.concat(formula, F.lit(f" + Error({id}/{time})")),
             "ttest_formula": formula,
