@@ -10,7 +10,7 @@ midnight to midnight.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -161,27 +161,33 @@ def resting_heart_rate_features(
 # ---- runs of consecutive minutes -------------------------------------------------------
 
 
-def episodes(
-    minutes: DataFrame, keys: Sequence[str], state: Column, max_gap: int = 1
+def mark_runs(
+    minutes: DataFrame, keys: Sequence[str], states: Mapping[str, Column], max_gap: int = 1
 ) -> DataFrame:
-    """Runs of minutes in one state, at most ``max_gap`` minutes from one row to the next.
+    """Number the runs of minutes in one state, for several readings of a minute at once.
 
-    Rows: keys, state, start_minute, end_minute, n_minutes and sums for MET and calories.
-    Minutes without a state belong to no run but do break one.
+    Adds ``state_<reading>`` and ``run_<reading>``.  A run holds minutes at most ``max_gap``
+    apart; a minute without a state breaks one.  All readings share one window, hence one
+    shuffle and one sort.
     """
     ordered = Window.partitionBy(*keys).orderBy("minute")
-    marked = minutes.withColumn("state", state).withColumns(
+    gap = F.col("minute") - F.lag("minute").over(ordered)
+    marked = minutes.withColumns({f"state_{r}": state for r, state in states.items()})
+    marked = marked.withColumns(
         {
-            "__prev": F.lag("state").over(ordered),
-            "__gap": F.col("minute") - F.lag("minute").over(ordered),
+            f"__new_{r}": (
+                ~F.col(f"state_{r}").eqNullSafe(F.lag(f"state_{r}").over(ordered))
+                | (F.coalesce(gap, F.lit(max_gap + 1)) > max_gap)
+            ).cast("int")
+            for r in states
         }
     )
-    new = ~F.col("state").eqNullSafe(F.col("__prev")) | (
-        F.coalesce(F.col("__gap"), F.lit(max_gap + 1)) > max_gap
-    )
-    runs = marked.withColumn("__new", new.cast("int")).withColumn(
-        "run", F.sum("__new").over(ordered)
-    )
+    runs = marked.withColumns({f"run_{r}": F.sum(f"__new_{r}").over(ordered) for r in states})
+    return runs.drop(*[f"__new_{r}" for r in states])
+
+
+def _run_totals(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per run: first and last minute, number of minutes, summed MET and calories."""
     return (
         runs.filter(F.col("state").isNotNull())
         .groupBy(*keys, "run", "state")
@@ -195,6 +201,18 @@ def episodes(
     )
 
 
+def episodes(
+    minutes: DataFrame, keys: Sequence[str], state: Column, max_gap: int = 1
+) -> DataFrame:
+    """Runs of minutes in one state, at most ``max_gap`` minutes from one row to the next.
+
+    Rows: keys, run, state, start_minute, end_minute, n_minutes and sums for MET and calories.
+    """
+    marked = mark_runs(minutes, keys, {"only": state}, max_gap)
+    named = marked.withColumnsRenamed({"state_only": "state", "run_only": "run"})
+    return _run_totals(named, keys)
+
+
 def _bout_stats(length: Column, condition: Column, prefix: str) -> list[Column]:
     x = F.when(condition, length)
     makers = {
@@ -378,12 +396,18 @@ def calorie_episode_features(
         "mvpa": F.when(level.isin(*mvpa), "mvpa"),
         "met": F.when(met >= met_threshold, "highmet").when(met.isNotNull(), "lowmet"),
     }
-    # The three readings of a minute become three rows, so one pass finds all episodes.
+    # Rows are tripled only after the window, within the partitions it already made.
+    marked = mark_runs(minutes, keys, groupings, max_gap)
     readings = F.array(
-        *[F.struct(F.lit(n).alias("g"), c.alias("episode_type")) for n, c in groupings.items()]
+        *[
+            F.struct(
+                F.lit(g).alias("g"), F.col(f"state_{g}").alias("state"), F.col(f"run_{g}").alias("run")
+            )
+            for g in groupings
+        ]
     )
-    long = minutes.withColumn("__r", F.explode(readings)).select("*", "__r.*").drop("__r")
-    runs = episodes(long, [*keys, "g"], F.col("episode_type"), max_gap)
+    long = marked.select(*keys, "minute", "mets", "calories", F.inline(readings))
+    runs = _run_totals(long, [*keys, "g"])
     length = F.col("end_minute") - F.col("start_minute") + 1
     met_avg = F.col("mets") / F.col("n_minutes")
     runs = runs.withColumns({"d": length, "avgm": met_avg})
