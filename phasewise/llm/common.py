@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def python_tasks(spark: SparkSession) -> None:
+    """Settings of Python tasks: Arrow batches that stay small with long texts, and workers that
+    find this package where it lies, if it isn't installed."""
+    root, found = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in found.get("PYTHONPATH", "").split(os.pathsep):
+        found["PYTHONPATH"] = os.pathsep.join(filter(None, [root, found.get("PYTHONPATH")]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z only; other letters stay as they are."""
     return F.translate(text, UPPER, LOWER)

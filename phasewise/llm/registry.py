@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, url_filter, warc_audit
+from . import decontaminate, minhash, mixing, token_files, url_filter, warc_audit
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,24 @@ def op1_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
     return warc_audit.audit(warc_audit.records(pages), warc_audit.records(replica))
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> tuple[str, str]:
+    """(file, pattern of its pre-tokenizer) of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name), public_tokenizers.PATTERN
+
+
+@register()
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.through_files(table(spark, folder, "documents"), *vocabulary())
+
+
+@register()
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = minhash.duplicate_groups(table(spark, folder, "documents"), percent=85)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @register(f"""
 WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWERED}, '{_ASCII}'), []) AS w FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({_LOWERED}, '{_ASCII}') AS w FROM benchmark WHERE text IS NOT NULL),
