@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, minhash, mixing, token_files, url_filter, warc_audit
+from . import (
+    decontaminate,
+    minhash,
+    mixing,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+    url_filter,
+    warc_audit,
+)
 from .common import LOWER, UPPER, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,6 +102,12 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+@register()
+def op5_super_kmers(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.without_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @register(f"""
 WITH p AS (SELECT page_id,
     coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{UPPER}', '{LOWER}'), '') AS host,
@@ -117,6 +132,12 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.crawled_twice(pages))
 
 
+@register()
+def op9_radix_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.without_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register(f"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_SPACE}')), 0)::BIGINT AS size,
     md5('0:' || doc_id) AS digest FROM documents),
