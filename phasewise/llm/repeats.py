@@ -146,20 +146,24 @@ def _note_table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
         [pa.array(parts, pa.int32()), pa.array(kinds, pa.int32()), zero, zero, zero, pa.array(bodies, pa.binary())], schema=_NOTES)
 
 
-def _compare_anchors(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
+def _compare_anchors(most: int):
     """To each part: its anchors that other parts hold as well (kind 1), and hot ones (kind 2)."""
-    values = [_numbers(b) for b in sent["body"].to_pylist()]
-    counts = [np.frombuffer(b, "<u2") for b in sent["counts"].to_pylist()]
-    every, where, parts = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
-    total = np.bincount(where, np.concatenate(counts))
-    shared, hot = every[parts > 1], every[total > HOT]
-    rows = []
-    for part, mine in zip(sent["part"].to_pylist(), values, strict=True):
-        for kind, table in ((1, shared), (2, hot)):
-            some = mine[_among(mine, table)]
-            if len(some):
-                rows.append((part, kind, _planes(some)))
-    return _note_table(rows)
+
+    def compare(key: tuple[pa.Scalar, ...], sent: pa.Table) -> pa.Table:
+        values = [_numbers(b) for b in sent["body"].to_pylist()]
+        counts = [np.frombuffer(b, "<u2") for b in sent["counts"].to_pylist()]
+        every, where, parts = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+        total = np.bincount(where, np.concatenate(counts))
+        shared, hot = every[parts > 1], every[total > most]
+        rows = []
+        for part, mine in zip(sent["part"].to_pylist(), values, strict=True):
+            for kind, table in ((1, shared), (2, hot)):
+                some = mine[_among(mine, table)]
+                if len(some):
+                    rows.append((part, kind, _planes(some)))
+        return _note_table(rows)
+
+    return compare
 
 
 _SENT = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), ("uids", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())),
@@ -169,7 +173,7 @@ _SENT_DDL = ("bucket int, part int, uids array<long>, ids array<long>, sizes arr
              "entry array<int>, doc array<int>, start array<int>, body binary")
 
 
-def _send_windows(units: Units, buckets: int):
+def _send_windows(units: Units, buckets: int, most: int):
     def send(key: tuple[pa.Scalar, ...], texts: pa.Table, notes: pa.Table) -> pa.Table:
         active = _first_rows(texts, notes)
         shared, hot = _bodies(notes, 1), _bodies(notes, 2)
@@ -183,7 +187,7 @@ def _send_windows(units: Units, buckets: int):
             seen.append(anchor)
         values, counts = np.unique(np.concatenate(seen), return_counts=True)
         live = np.union1d(values[counts > 1], shared)
-        hot = np.union1d(values[counts > HOT], hot)
+        hot = np.union1d(values[counts > most], hot)
         out: dict[int, list] = {}
         for row, hashes, first, packed, begin, end, start, n, anchor in read:
             some = _among(anchor, live)
@@ -327,7 +331,8 @@ def _apply(units: Units, result: pa.Schema, finish: Callable, whole_copies: bool
 
 
 def cut_repeats(
-    docs: DataFrame, units: Units, result: pa.Schema, ddl: str, finish: Callable, later_only: bool, key: str, text: str
+    docs: DataFrame, units: Units, result: pa.Schema, ddl: str, finish: Callable, later_only: bool, key: str, text: str,
+    hot: int = HOT,
 ) -> DataFrame:
     """One row per row of `docs`: the id and what `finish` makes of the text without the units
     that a repeated window covers.  `key` is an integer column."""
@@ -349,7 +354,7 @@ def cut_repeats(
         return texts.groupBy("part").cogroup(notes.groupBy("part")).applyInArrow(what, schema)
 
     anchors = together(classes, _send_anchors(units, parts), "range int, part int, body binary, counts binary")
-    shared = anchors.groupBy("range").applyInArrow(_compare_anchors, _NOTE)
-    sent = together(classes.unionByName(shared), _send_windows(units, parts), _SENT_DDL)
+    shared = anchors.groupBy("range").applyInArrow(_compare_anchors(hot), _NOTE)
+    sent = together(classes.unionByName(shared), _send_windows(units, parts, hot), _SENT_DDL)
     marks = sent.groupBy("bucket").applyInArrow(_find_equal(units, later_only), _NOTE)
     return together(classes.unionByName(marks), _apply(units, result, finish, later_only), ddl)

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .repeats import Units, cut_repeats
+from .repeats import HOT, Units, cut_repeats
 from .textcore import IS_SPACE, byte_sums, span_hashes, words
 
 WINDOW = 35  # words
@@ -55,7 +55,7 @@ def _finish(packed: np.ndarray, begin: np.ndarray, end: np.ndarray, gone: np.nda
     return len(gone), int(gone.sum()), kept.decode("utf-8", "replace")
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(key, n_words, n_removed, kept) per row of `docs`.
 
     A word goes if a window of `window` words that covers it starts anywhere else as well, in
@@ -65,5 +65,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
     are rows like others; further columns are not looked at; no documents: no rows.
     """
     units = Units(window, min(minimiser, window), _read, _sorted_groups(window))
-    out = cut_repeats(docs, units, _RESULT, "key long, n_words long, n_removed long, kept string", _finish, False, key, text)
+    out = cut_repeats(docs, units, _RESULT, "key long, n_words long, n_removed long, kept string", _finish, False, key, text, hot)
     return out.withColumnRenamed("key", key)

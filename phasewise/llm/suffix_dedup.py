@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .repeats import Units, cut_repeats
+from .repeats import HOT, Units, cut_repeats
 from .textcore import _BYTE, runs
 
 THRESHOLD = 50  # bytes
@@ -69,7 +69,7 @@ def _finish(packed: np.ndarray, begin: np.ndarray, end: np.ndarray, gone: np.nda
     return len(gone), int(gone.sum()), len(runs(gone)[0]), text[~gone].tobytes()
 
 
-def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept) per row of `docs`, of its UTF-8 bytes.
 
     A byte goes if a string of `threshold` bytes that covers it starts in a document with a smaller key as
@@ -80,5 +80,5 @@ def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRA
     """
     units = Units(threshold, min(gram, threshold), _read, _radix_groups(threshold))
     out = cut_repeats(
-        docs, units, _RESULT, "key long, n_bytes long, n_removed long, n_spans long, kept binary", _finish, True, key, text)
+        docs, units, _RESULT, "key long, n_bytes long, n_removed long, n_spans long, kept binary", _finish, True, key, text, hot)
     return out.withColumnRenamed("key", key)
