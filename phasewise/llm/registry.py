@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    embedding_dedup,
     minhash,
     mixing,
     substring_dedup,
@@ -132,6 +133,11 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.crawled_twice(pages))
 
 
+@register()
+def op8_projections(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 @register()
 def op9_radix_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_dedup.without_repeats(table(spark, folder, "documents"))
