@@ -12,6 +12,7 @@ from . import (
     embedding_dedup,
     minhash,
     mixing,
+    quality,
     substring_dedup,
     suffix_dedup,
     token_files,
@@ -133,6 +134,12 @@ def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.crawled_twice(pages))
 
 
+@register()
+def op7_co_training(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return scored.select("doc_id", "score", "kept")
+
+
 @register()
 def op8_projections(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))

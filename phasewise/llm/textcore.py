@@ -71,13 +71,16 @@ def span_hashes(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     return mixed((sums[end] - sums[begin]) * powers(len(sums))[1][begin])
 
 
-def words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(begin, end, first): byte spans of the words [^\\x20\\x09-\\x0D]+, and for each row the
-    number of its first word, with one entry more at the end.  No word crosses rows."""
+def words(
+    data: np.ndarray, ends: np.ndarray, letter: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, first): byte spans of the words [^\\x20\\x09-\\x0D]+, or of the runs of `letter`,
+    and for each row the number of its first word, with one entry more at the end.  No word
+    crosses rows."""
     n = len(data)
     inside = np.ones(n + 2, bool)
     inside[0] = inside[-1] = False
-    inside[1:-1] = ~IS_SPACE[data]
+    inside[1:-1] = ~IS_SPACE[data] if letter is None else letter
     edge = np.zeros(n + 1, bool)
     edge[ends] = True
     begin = np.flatnonzero(inside[1:] & (~inside[:-1] | edge)[: n + 1])
