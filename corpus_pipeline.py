@@ -1,12 +1,54 @@
-"""A corpus from raw documents to token files: the stages, each written and read again."""
+"""A corpus from raw documents to token files: each stage works on what its predecessor wrote.
+
+Quality and toxicity first, then one document of each near-duplicate group, then contaminated
+documents go, the sources are mixed to their weights, and the mix is written as token files.
+Stages before the last take and return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from phasewise.llm import decontaminate, minhash, mixing, quality, token_files
+from phasewise.llm.common import cut, table
+from phasewise.llm.registry import vocabulary
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.without_rejected(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicate(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the token files, read back from them."""
+    return token_files.through_files(docs, *vocabulary())
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mix", mix_sources),
+    ("tokens", write_tokens),
+]
+# The classifier and the tokenizer have no SQL form; tests/llm holds the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over `documents`, each written to the shared folder before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return docs

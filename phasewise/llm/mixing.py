@@ -93,7 +93,7 @@ def lay_out(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = 0,
     per_bucket: int = 2000, key: str = "doc_id", text: str = "text", source: str = "source",
 ) -> tuple[DataFrame, DataFrame]:
-    """(documents, sources).  documents: (key, place, size, start) with the first token's place in
+    """(documents, sources).  documents: (key, content, place, size, start) with the first token's place in
     its source, in the order of the digest of seed and key (equal keys: smaller first).
     sources: (place, name, source_size, target, quota); place counts them by code point, null last.
 
@@ -103,30 +103,30 @@ def lay_out(
     name = F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("t"))  # any string sorts before null
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     sized = cut(docs.select(F.col(key).alias("key"), name.alias("name"), order.alias("digest"),
-                            size_of(F.col(text)).alias("size")), "sizes")
+                            F.xxhash64(F.col(text)).alias("content"), size_of(F.col(text)).alias("size")), "sizes")
     totals = sized.groupBy("name").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     placed = totals.withColumn("place", F.row_number().over(Window.orderBy("name")))
     sources = cut(
         targets(placed, weights, share, repeats).withColumn("quota", F.floor(F.col("target") + 0.5)), "sources")
     unit = F.conv(F.substring("digest", 1, 8), 16, 10).cast("double") / float(1 << 32)
     bucketed = sized.join(sources.select("name", "place", "n"), "name").select(
-        "key", "place", "digest", "size",
+        "key", "place", "digest", "content", "size",
         F.floor(unit * F.ceil(F.col("n") / per_bucket)).alias("bucket"))
     sums = bucketed.groupBy("place", "bucket").agg(F.sum("size").alias("tokens"))
     before = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shift = sums.select("place", "bucket", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("shift"))
-    within = (Window.partitionBy("place", "bucket").orderBy("digest", "size")
+    within = (Window.partitionBy("place", "bucket").orderBy("digest", "size", "content")
               .rowsBetween(Window.unboundedPreceding, -1))
     laid = (
         bucketed.withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(shift, ["place", "bucket"])
-        .select("key", "place", "size", (F.col("shift") + F.col("inside")).alias("start"))
+        .select("key", "content", "place", "size", (F.col("shift") + F.col("inside")).alias("start"))
     )
     return cut(laid, "laid"), sources
 
 
 def mixed_pieces(laid: DataFrame, sources: DataFrame, block: int = BLOCK, repeats: int = REPEATS) -> DataFrame:
-    """(t, place, key, start, size, skip, tokens): the mix.  Slot t takes `tokens` words of the
+    """(t, place, key, start, size, turn, skip, tokens): the mix.  Slot t takes `tokens` words of the
     document, after its first `skip`; a slot takes `block` words, a source's last one the rest."""
     turns = laid.where("size > 0").join(sources.select("place", "source_size", "quota"), "place").select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("turn")).withColumn(
@@ -136,7 +136,7 @@ def mixed_pieces(laid: DataFrame, sources: DataFrame, block: int = BLOCK, repeat
         "*", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("end") - 1) / block))).alias("rank"))
     begin = F.greatest("first", F.col("rank") * block)
     return ranked.join(schedule(sources, block), ["place", "rank"]).select(
-        "t", "place", "key", "start", "size", (begin - F.col("first")).alias("skip"),
+        "t", "place", "key", "start", "size", "turn", (begin - F.col("first")).alias("skip"),
         (F.least("end", (F.col("rank") + 1) * block) - begin).alias("tokens"))
 
 
@@ -154,3 +154,24 @@ def mix(docs: DataFrame, key: str = "doc_id", block: int = BLOCK, **options) ->
         sources.select("place", "source_size", "target"), "place").select(
         F.col("key").alias(key), "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str = "n_chars", block: int = BLOCK, **options) -> DataFrame:
+    """The mix as documents with the columns of `docs`: a row per document and turn it is taken in.
+
+    Where a source's target ends inside a document, the taken words, joined by one space, are
+    the text, and `length` their characters.  Documents of which nothing is taken go.
+    """
+    laid, sources = lay_out(docs, key=key, text=text, **options)
+    taken = (mixed_pieces(laid, sources, block, options.get("repeats", REPEATS))
+             .groupBy("place", "start", "size", "turn").agg(F.sum("tokens").alias("__taken")))
+    turns = laid.join(taken, ["place", "start", "size"]).select(
+        F.col("key").alias("__key"), F.col("content").alias("__content"), F.col("size").alias("__size"), "__taken")
+    whole = docs.withColumn("__text", F.xxhash64(F.col(text))).dropDuplicates([key, "__text"])
+    both = whole.join(turns, whole[key].eqNullSafe(turns["__key"]) & (whole["__text"] == turns["__content"]))
+    part = F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(f"({SPACE_WORD})")), F.lit(1), F.col("__taken").cast("int")), " ")
+    cut_short = F.col("__taken") < F.col("__size")
+    out = both.withColumn("__text", F.when(cut_short, part).otherwise(F.col(text)))
+    number = F.when(cut_short, F.char_length("__text")).otherwise(F.col(length)).cast(dict(docs.dtypes)[length])
+    return out.withColumn("__length", number).select(
+        *[{text: F.col("__text"), length: F.col("__length")}.get(c, F.col(c)).alias(c) for c in docs.columns])
