@@ -33,6 +33,8 @@ def _selectors(values: np.ndarray) -> np.ndarray:
         if n - len(wide) == 0:
             break
         following = np.append(wide, n + COUNTS[0])
+        if np.diff(following, prepend=-1).max() <= min(COUNTS[s], n):
+            continue  # no run of values is long enough
         gap = np.repeat(following, np.diff(following, prepend=-1))[:n] - np.arange(n)
         best[gap >= np.minimum(COUNTS[s], n)] = s
     return best

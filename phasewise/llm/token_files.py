@@ -1,14 +1,13 @@
 """Token files: texts as ids in Simple-8b blocks, in the order of their keys, and back.
 
-A file set is a Parquet table with one row per block: (shard, block, n_ids, keys, lengths, body).
-Shards are ranges of keys, blocks follow each other inside a shard, whole documents inside a block.
+A file set is a Parquet table with one row per block: (shard, start, n_ids, keys, lengths, body).
+Shards are ranges of keys; start counts the ids of the shard before the block, which holds whole documents.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +20,29 @@ from .common import new_path, python_tasks
 
 BLOCK_IDS = 1 << 16
 END = 2
-# Ids of pieces that a worker has met; emptied when full.  Pieces repeat more than texts do.
-_MEMO: dict[str, dict[str, list[int]]] = {}
-_MEMO_SIZE = 200_000
+MOST_BROADCAST = 1_000_000  # shards, that is write tasks, of 16 bytes each
+_MEMO_SIZE = 300_000
+
+
+class Pieces(dict):
+    """Ids of the pieces a worker has met, as little-endian 32-bit numbers.  Pieces repeat far more
+    than texts do; once full, the memo keeps the pieces it has, mostly the frequent ones."""
+
+    def __init__(self, vocabulary: str):
+        from tokenizers import Tokenizer
+
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+
+    def __missing__(self, piece: str) -> bytes:
+        coded = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self) < _MEMO_SIZE:
+            self[piece] = coded
+        return coded
+
+
+_pieces: dict[str, Pieces] = {}
 
 
 class Encoder:
@@ -34,47 +53,39 @@ class Encoder:
 
     def __init__(self, vocabulary: str, pattern: str):
         import regex
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.pieces = regex.compile(pattern).findall
-        self.memo = _MEMO.setdefault(vocabulary, {})
+        self.split = regex.compile(pattern).findall
+        if vocabulary not in _pieces:
+            _pieces[vocabulary] = Pieces(vocabulary)
+        self.pieces = _pieces[vocabulary]
 
-    def ids(self, text: str) -> list[int]:
-        pieces = self.pieces(text)
-        new = [p for p in set(pieces) if p not in self.memo]
-        if new:
-            if len(self.memo) > _MEMO_SIZE:
-                self.memo.clear()
-                new = list(set(pieces))
-            for piece, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.memo[piece] = coded.ids
-        return list(chain.from_iterable(map(self.memo.__getitem__, pieces)))
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), "<u4")
 
 
 def _encode(vocabulary: str, pattern: str, end: int, key_type: pa.DataType):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, number = Encoder(vocabulary, pattern), TaskContext.get().partitionId(), 0
-        keys, lengths, ids = [], [], []
+        encoder, shard = Encoder(vocabulary, pattern), TaskContext.get().partitionId()
+        start, keys, lengths, ids, closing = 0, [], [], [], np.array([end], "<u4")
 
         def block() -> pa.RecordBatch:
+            body = simple8b.encode(np.concatenate(ids))
             return pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([len(ids)], pa.int64()),
-                 pa.array([keys], pa.list_(key_type)), pa.array([lengths], pa.list_(pa.int64())),
-                 pa.array([simple8b.encode(np.array(ids, np.uint64))], pa.binary())],
-                ["shard", "block", "n_ids", "keys", "lengths", "body"])
+                [pa.array([shard], pa.int32()), pa.array([start], pa.int64()), pa.array([sum(lengths)], pa.int64()),
+                 pa.array([keys], pa.list_(key_type)), pa.array([lengths], pa.list_(pa.int64())), pa.array([body], pa.binary())],
+                ["shard", "start", "n_ids", "keys", "lengths", "body"])
 
+        held = 0
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 coded = encoder.ids(text.as_py() or "")
                 keys.append(key)
                 lengths.append(len(coded) + 1)
-                ids += coded
-                ids.append(end)
-                if len(ids) >= BLOCK_IDS:
+                ids += [coded, closing]
+                held += lengths[-1]
+                if held >= BLOCK_IDS:
                     yield block()
-                    keys, lengths, ids, number = [], [], [], number + 1
+                    start, held, keys, lengths, ids = start + held, 0, [], [], []
         if keys:
             yield block()
 
@@ -94,7 +105,7 @@ def write_tokens(
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
     rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
         _encode(vocabulary, pattern, end, arrow),
-        f"shard int, block int, n_ids long, keys array<{kind}>, lengths array<long>, body binary",
+        f"shard int, start long, n_ids long, keys array<{kind}>, lengths array<long>, body binary",
     ).write.parquet(path)
 
 
@@ -124,10 +135,9 @@ def read_tokens(spark: SparkSession, path: str, key: str = "doc_id", with_ids: b
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
     shards = shards.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-    inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("shard", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("inside")).join(
-        shards, "shard").select("shard", "block", (F.col("earlier") + F.col("inside")).alias("start"))
-    rows = blocks.join(starts, ["shard", "block"]).select("start", "keys", "lengths", "body")
+    if shards.count() < MOST_BROADCAST:
+        shards = F.broadcast(shards)
+    rows = blocks.join(shards, "shard").select((F.col("earlier") + F.col("start")).alias("start"), "keys", "lengths", "body")
     ids = ", ids array<long>" if with_ids else ""
     return rows.mapInArrow(
         _decode(with_ids), f"key {kind}, start long, n_tokens long, ids_crc32 long{ids}"
