@@ -32,10 +32,10 @@ def _directions(dimensions: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(11)).standard_normal((dimensions, PROJECTIONS + 1))
 
 
-def _unit_vectors(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks()
-    vectors = flat.flatten().to_numpy().astype(np.float64).reshape(len(flat), -1)
-    return vectors
+def _vectors(lists: pa.ListArray) -> np.ndarray:
+    """Rows of equally many components, each scaled by a power of two so that squares stay finite."""
+    rows = lists.flatten().to_numpy().astype(np.float64).reshape(len(lists), -1)
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1))[1][:, None]) if len(rows) else rows
 
 
 def _place(deviation: float):
@@ -48,7 +48,7 @@ def _place(deviation: float):
             lengths = np.diff(lists.offsets.to_numpy())
             for d in np.unique(lengths):
                 rows = np.flatnonzero(lengths == d)
-                vectors = lists.take(pa.array(rows)).flatten().to_numpy().astype(np.float64).reshape(-1, d)
+                vectors = _vectors(lists.take(pa.array(rows)))
                 x = vectors @ _directions(int(d))[:, 0] / np.linalg.norm(vectors, axis=1)
                 slabs[rows] = np.floor(x / (SLAB_WIDTH * deviation))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(slabs)], ["node", "slab"])
@@ -96,7 +96,7 @@ def _compare(threshold: float, deviation: float):
     def compare(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         order = pc.sort_indices(rows, [("side", "ascending"), ("node", "ascending")])
         rows = rows.take(order)
-        vectors = _unit_vectors(rows["vector"])
+        vectors = _vectors(rows["vector"].combine_chunks())
         norms = np.linalg.norm(vectors, axis=1)
         side, node, copies = (rows[c].to_numpy() for c in ("side", "node", "copies"))
         n = len(node)
