@@ -122,7 +122,7 @@ def living_arrangement(combined: Column) -> Column:
 
 
 def sentence_case(col: Column) -> Column:
-    return F.concat(F.upper(F.substring(col, 1, 1)), F.lower(F.substring(col, 2, 1_000_000)))
+    return F.concat(F.upper(F.substring(col, 1, 1)), F.lower(F.substr(col, F.lit(2))))
 
 
 def yes_no(flag: Column) -> Column:

@@ -525,14 +525,11 @@ oracle("src_json_minutes", "ev", """
 oracle("src_phase_averages", "device_avg", """
     SELECT record_id, CAST(phase AS INTEGER) AS study_phase, n_days, n_days_with_sufficient_data,
            avghr_mean FROM device_avg WHERE phase <> 'overall'""")
-oracle("src_fold_join", "ev", """
-    SELECT pId AS record_id, count(*) FILTER (WHERE event_type = 'click') AS n_click,
-           count(*) FILTER (WHERE event_type = 'view') AS n_view,
-           count(*) FILTER (WHERE event_type = 'purchase') AS n_purchase,
-           sum(value) FILTER (WHERE event_type = 'click') AS total_click,
-           sum(value) FILTER (WHERE event_type = 'view') AS total_view,
-           sum(value) FILTER (WHERE event_type = 'purchase') AS total_purchase
-    FROM ev WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1""")
+_KINDS = ("click", "view", "purchase", "signup", "error")
+oracle("src_fold_join", "ev", "SELECT pId AS record_id, " + ", ".join(
+    f"count(*) FILTER (WHERE event_type = '{k}') AS n_{k}, sum(value) FILTER (WHERE event_type = '{k}') AS total_{k}"
+    for k in _KINDS
+) + " FROM ev WHERE event_type IS NOT NULL GROUP BY 1")
 oracle("proj_harmonize", "scores", "SELECT record_id, " + ", ".join(
     f"max({m}_score) FILTER (WHERE timepoint_name = '{tp}') AS q_{m}_{name}"
     for m in ("cesd", "peat", "sip") for tp, name in (("bl", "baseline"), ("mp", "middle"))
@@ -800,10 +797,9 @@ oracle("win_midrank", "ev", """
                  row_number() OVER (PARTITION BY event_type ORDER BY value) AS place FROM ev) x
     GROUP BY 1, 2""")
 oracle("set_union_distinct", "names", "SELECT * FROM names")
-oracle("set_append", "ev", """
-    SELECT pId, count(*) FILTER (WHERE event_type = 'click') AS n_click,
-           count(*) FILTER (WHERE event_type = 'error') AS n_error, count(*) AS n_rows
-    FROM ev WHERE event_type IN ('click', 'error') GROUP BY 1""")
+oracle("set_append", "ev", "SELECT pId, count(*) AS n_rows, " + ", ".join(
+    f"count(*) FILTER (WHERE event_type = '{k}') AS n_{k}" for k in _KINDS
+) + " FROM ev WHERE event_type IS NOT NULL GROUP BY 1")
 
 # ---- study plans -----------------------------------------------------------------------
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,18 +82,21 @@ def src_phase_averages(t: Tables) -> DataFrame:
     return readers.phase_averages(_device_averages(t))
 
 
-@query("record_id", "n_click n_view n_purchase", "total_click total_view total_purchase")
+KINDS = ("click", "view", "purchase", "signup", "error")
+
+
+@query("record_id", " ".join(f"n_{k}" for k in KINDS), " ".join(f"total_{k}" for k in KINDS))
 def src_fold_join(t: Tables) -> DataFrame:
-    """Three tables per participant full-joined on their id."""
+    """A table per kind of event, full-joined on the participant."""
     events = t.events().withColumnRenamed("pId", "record_id")
     frames = [
         events.filter(F.col("event_type") == kind)
         .groupBy("record_id")
         .agg(F.count("*").alias(f"n_{kind}"), F.sum("value").alias(f"total_{kind}"))
-        for kind in ("click", "view", "purchase")
+        for kind in KINDS
     ]
     joined = joins.fold_full_join(frames, ["record_id"], null_safe=True)
-    return joined.fillna(0, subset=["n_click", "n_view", "n_purchase"])
+    return joined.fillna(0, subset=[f"n_{kind}" for kind in KINDS])
 
 
 # ---- projection, recoding, scalars -----------------------------------------------------
@@ -583,16 +588,17 @@ def set_union_distinct(t: Tables) -> DataFrame:
     return activities.activity_names(t.activities(), t.user_activities())
 
 
-@query("pId", "n_click n_error n_rows", "")
+@query("pId", " ".join(f"n_{k}" for k in (*KINDS, "rows")), "")
 def set_append(t: Tables) -> DataFrame:
     """Frames with different columns appended."""
     e = t.events()
     frames = [
         e.filter(F.col("event_type") == kind).select("pId", F.lit(1).alias(f"n_{kind}"))
-        for kind in ("click", "error")
+        for kind in KINDS
     ]
-    sums = agg.sum_columns(sets.stack(frames), ["pId"], ["n_click", "n_error"], prefix="")
-    return sums.withColumn("n_rows", F.col("n_click") + F.col("n_error"))
+    counts = [f"n_{kind}" for kind in KINDS]
+    sums = agg.sum_columns(sets.stack(frames), ["pId"], counts, prefix="")
+    return sums.withColumn("n_rows", reduce(add, map(F.col, counts)))
 
 
 # ---- study plans -----------------------------------------------------------------------
