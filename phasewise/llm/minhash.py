@@ -4,6 +4,12 @@ Documents with the same shingle set form a class.  A class is posted under its c
 rarest first; two classes that agree on THRESHOLD of COORDINATES must meet in the first
 postings (the prefix), so only those are joined.  What meets has its agreeing coordinates
 counted, and what passes is compared on full shingle sets.
+
+Before that, the shingles that each posted class has in common with any other are counted: two
+classes cannot share more than the smaller of their counts.  This rules out most pairs of a large
+group of loose copies, whose own edits occur nowhere else.  For what the first links leave apart,
+shingles of two or three classes count as well: classes that share such a one meet by it, and all
+others cannot share any.
 """
 
 from __future__ import annotations
@@ -67,6 +73,14 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "content", "n_shingles", "node", "signature"])
 
 
+def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        nodes = batch.column(0).to_numpy()
+        for row, hashes, first in shingles(batch.column(1)):
+            node = np.repeat(nodes[row : row + len(first) - 1], np.diff(first))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(hashes.view(np.int64))], ["node", "shingle"])
+
+
 def _compare(percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,6 +109,43 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent:
     return both.mapInArrow(_compare(percent), "u long, v long")
 
 
+def _rare_shingles(texts: DataFrame) -> DataFrame:
+    """(n, nodes) of every shingle that only n = 1, 2 or 3 classes have."""
+    found = texts.select("node", "text").mapInArrow(_list_shingles, "node long, shingle long").groupBy("shingle").agg(
+        F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor("node").alias("all"))
+    between = F.col("all").bitwiseXOR(F.col("lo")).bitwiseXOR(F.col("hi"))
+    nodes = (F.when(F.col("n") == 1, F.array("lo")).when(F.col("n") == 2, F.array("lo", "hi"))
+             .otherwise(F.array("lo", between, "hi")))
+    return cut(found.where("n <= 3").select("n", nodes.alias("nodes")), "rare")
+
+
+def _bounded(posted: DataFrame, sizes: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """`posted` with the size of each class's set, how many of it any other class has (common) and
+    how many at least three others have (often), without the classes that have too few in common
+    for any partner."""
+    counts = rare.select("n", F.explode("nodes").alias("node")).groupBy("node").agg(
+        F.count_if(F.col("n") == 1).alias("alone"), F.count("*").alias("seldom"))
+    bounds = sizes.join(counts, "node", "left").select(
+        "node", "size", *[(F.col("size") - F.coalesce(less, F.lit(0))).alias(name)
+                          for name, less in (("common", "alone"), ("often", "seldom"))])
+    return posted.join(bounds.where(F.col("common") * 100 >= F.col("size") * percent), "node")
+
+
+def _sharing_rare(rare: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Distinct (u, v), u < v, of different components that share a rare shingle."""
+    ends = F.when(F.col("n") == 2, F.array(F.struct(F.col("nodes")[0].alias("u"), F.col("nodes")[1].alias("v")))).otherwise(
+        F.array(*[F.struct(F.col("nodes")[i].alias("u"), F.col("nodes")[j].alias("v")) for i, j in ((0, 1), (0, 2), (1, 2))]))
+    pairs = rare.where("n > 1").select(F.explode(ends).alias("p")).select("p.u", "p.v").distinct()
+    of = [grouped.select(F.col("node").alias(x), F.col("component").alias(f"c{x}")) for x in "uv"]
+    return pairs.join(of[0], "u", "left").join(of[1], "v", "left").where(
+        F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+
+
+def _may_link(a: str, b: str, percent: int, common: str):
+    most = F.least(f"{a}.{common}", f"{b}.{common}")
+    return most * 100 >= (F.col(f"{a}.size") + F.col(f"{b}.size") - most) * percent
+
+
 def _postings(classes: DataFrame) -> DataFrame:
     """(k, value, node, at, n): the prefix of each class's shared coordinate values, rarest first.
 
@@ -121,7 +172,7 @@ def duplicate_groups(docs: DataFrame, percent: int = 80, key: str = "doc_id", te
     documents: no rows.
 
     Large groups of near copies are not compared pair by pair: every posting list is first
-    linked to one member.  Then only members of different components meet, and those of a list's
+    linked to one member, the hub.  Then only members of different components meet, and those of a list's
     largest component never meet each other.
     """
     python_tasks(docs.sparkSession)
@@ -131,14 +182,25 @@ def duplicate_groups(docs: DataFrame, percent: int = 80, key: str = "doc_id", te
         "signatures")
     classes = cut(
         signed.where("n_shingles > 0").groupBy("node").agg(
-            F.first("signature").alias("signature"), F.min("content").alias("content")), "classes")
-    posted = cut(_postings(classes), "postings")
-    wanted = classes.join(posted.select("node").distinct(), "node", "left_semi").select("node", "content")
+            F.first("signature").alias("signature"), F.min("content").alias("content"),
+            F.first("n_shingles").alias("size")), "classes")
+    postings = cut(_postings(classes), "postings")
+    wanted = classes.join(postings.select("node").distinct(), "node", "left_semi").select("node", "content", "size")
     texts = cut(
-        rows.join(wanted, "content").groupBy("node").agg(F.first("text").alias("text")), "texts")
-
-    first = posted.groupBy("k", "value").agg(F.min("node").alias("u"))
-    stars = posted.join(first, ["k", "value"]).where("u <> node").select("u", F.col("node").alias("v")).distinct()
+        rows.join(wanted, "content").groupBy("node", "size").agg(F.first("text").alias("text")), "texts")
+    rare = _rare_shingles(texts)
+    posted = cut(_bounded(postings, texts.select("node", "size"), rare, percent), "bounded")
+    texts = texts.select("node", "text")
+
+    # A list's hub is the member that has most of its set in common with others.
+    rank = F.struct(F.col("common") / F.col("size"), F.col("node"), F.col("common"), F.col("size"))
+    first = posted.groupBy("k", "value").agg(F.max(rank).alias("hub")).select(
+        "k", "value", F.col("hub.node").alias("node"), F.col("hub.common").alias("common"), F.col("hub.size").alias("size"))
+    hub, member = first.alias("a"), posted.alias("b")
+    stars = hub.join(
+        member, (F.col("a.k") == F.col("b.k")) & (F.col("a.value") == F.col("b.value"))
+        & (F.col("a.node") != F.col("b.node")) & _may_link("a", "b", percent, "common")
+    ).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     links = cut(_confirmed(stars, classes, texts, percent), "links")
     grouped = components(links)
 
@@ -146,15 +208,18 @@ def duplicate_groups(docs: DataFrame, percent: int = 80, key: str = "doc_id", te
     parts = placed.groupBy("k", "value", "component").agg(F.count("*").alias("members"))
     open_lists = parts.groupBy("k", "value").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("most"))
     open_lists = open_lists.where("parts > 1").select("k", "value", F.col("most.component").alias("most"))
-    held = cut(placed.join(open_lists, ["k", "value"]), "open")
+    # A pair counts in the first list that both its classes are in: none before it is common.
+    posting = F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("value").bitwiseAND(F.lit(0xFFFFFFFF)))
+    prefixes = posted.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", posting.alias("p"))))["p"].alias("prefix"))
+    held = cut(placed.join(open_lists, ["k", "value"]).join(prefixes, "node"), "open")
     a, b = held.where("component <> most").alias("a"), held.alias("b")
-    reach = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     rest = a.join(
         b, (F.col("a.k") == F.col("b.k")) & (F.col("a.value") == F.col("b.value"))
-        & (F.col("a.component") != F.col("b.component")) & (reach >= THRESHOLD)
+        & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b", percent, "often")
         & ((F.col("b.component") == F.col("b.most")) | (F.col("a.node") < F.col("b.node")))
-    ).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
-    more = _confirmed(rest, classes, texts, percent)
+        & ~F.arrays_overlap(F.slice("a.prefix", F.lit(1), F.col("a.at")), F.col("b.prefix"))
+    ).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
+    more = _confirmed(rest.union(_sharing_rare(rare, grouped)).distinct(), classes, texts, percent)
     stars_of = grouped.select(F.col("node").alias("u"), F.col("component").alias("v"))
     final = components(stars_of.unionByName(more))
 
