@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import cut, python_tasks
 from .textcore import chunks, mixed, prefix_sums, runs, span_hashes
 
-PART_BYTES = 8 << 20
+PART_BYTES = 8 << 20  # of text in a part, where a unit has several bytes
 LEAST_PARTS = 64
 HOT = 2000
 _PLACE = np.uint64(26)  # bits of a place among the grams worked on at a time
@@ -45,6 +45,7 @@ class Units:
     gram: int
     read: Callable
     equal: Callable  # (packed bytes, entry offsets, windows per entry) -> group of each window
+    part_bytes: int = PART_BYTES
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -341,7 +342,7 @@ def cut_repeats(
     hashes = F.xxhash64("text").alias("one"), F.xxhash64(F.lit("second"), "text").alias("two")
     equal = cut(rows.select("id", *hashes, F.octet_length("text").cast("long").alias("bytes")).groupBy("one", "two").agg(
         F.min("id").alias("id"), F.count("*").alias("n"), F.sum("bytes").alias("bytes")), "equal")
-    parts = max(LEAST_PARTS, (equal.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES + 1)
+    parts = max(LEAST_PARTS, (equal.agg(F.sum("bytes")).first()[0] or 0) // units.part_bytes + 1)
     uid = F.col("one").bitwiseXOR(F.shiftleft("two", 1)).alias("uid")
 
     def part(one, id_):

@@ -17,6 +17,7 @@ from .textcore import _BYTE, runs
 
 THRESHOLD = 50  # bytes
 GRAM = 24  # bytes
+PART_BYTES = 3 << 20  # every byte is a unit, which takes some 60 bytes while a part is worked on
 
 _RESULT = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
 
@@ -78,7 +79,7 @@ def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRA
     the same key are one document to each other and remove nothing there; a null key counts as
     the largest; further columns are not looked at; no documents: no rows.
     """
-    units = Units(threshold, min(gram, threshold), _read, _radix_groups(threshold))
+    units = Units(threshold, min(gram, threshold), _read, _radix_groups(threshold), PART_BYTES)
     out = cut_repeats(
         docs, units, _RESULT, "key long, n_bytes long, n_removed long, n_spans long, kept binary", _finish, True, key, text, hot)
     return out.withColumnRenamed("key", key)
