@@ -6,6 +6,7 @@ Shards are ranges of keys; start counts the ids of the shard before the block, w
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -24,9 +25,19 @@ MOST_BROADCAST = 1_000_000  # shards, that is write tasks, of 16 bytes each
 _MEMO_SIZE = 300_000
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for
+    themselves, the others from 256 on in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class Pieces(dict):
     """Ids of the pieces a worker has met, as little-endian 32-bit numbers.  Pieces repeat far more
-    than texts do; once full, the memo keeps the pieces it has, mostly the frequent ones."""
+    than texts do; once full, the memo keeps the pieces it has, mostly the frequent ones.
+
+    A piece goes straight to the vocabulary's merges, unless the tokenizer normalises texts first."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -34,9 +45,16 @@ class Pieces(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        self.merge = self.tokenizer.model.tokenize if self.tokenizer.normalizer is None else None
+        self.characters = byte_characters()
+
+    def _ids(self, piece: str) -> list[int]:
+        if self.merge is None:
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return [t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.characters))]
 
     def __missing__(self, piece: str) -> bytes:
-        coded = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        coded = struct.pack(f"<{len(ids)}I", *ids) if (ids := self._ids(piece)) else b""
         if len(self) < _MEMO_SIZE:
             self[piece] = coded
         return coded
