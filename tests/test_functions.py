@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from phasewise.functions import choices, columns, dates, recode, rowwise, text

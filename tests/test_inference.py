@@ -6,7 +6,7 @@ import random
 import statistics as st
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from phasewise.functions import text
 from phasewise.plans import inference, tables

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from comparing import rows
 
 from phasewise.sources import readers, schemas, writers
 
