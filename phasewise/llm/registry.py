@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from . import (
     decontaminate,
     embedding_dedup,
+    hard_negatives,
+    language,
     minhash,
     mixing,
     quality,
@@ -17,6 +19,7 @@ from . import (
     suffix_dedup,
     token_files,
     url_filter,
+    vector_codes,
     warc_audit,
 )
 from .common import LOWER, UPPER, table
@@ -169,3 +172,63 @@ SELECT doc_id, size, source_size, target,
 FROM x""")
 def op10_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
+
+
+@register()
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(table(spark, folder, "documents"))
+
+
+_INTEGERS = """
+f AS (SELECT vec_id, label, embedding AS x FROM embeddings WHERE embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS (SELECT vec_id, label, list_transform(x, lambda c: floor(256 * c::DOUBLE)) AS x FROM f)"""
+
+
+@register(f"""
+WITH {_INTEGERS},
+e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, x FROM v
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, list_dot_product(a.x, b.x)::BIGINT AS score
+  FROM e a JOIN e b ON len(a.x) = len(b.x) AND a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY rank <= 5""")
+def op12_threshold_algorithm(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def _codes_sql(rounds: int = 2) -> str:
+    """Rounds of assignment and update over (part, entry) rows, each a pair of subqueries."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS (SELECT vec_id, label, part, x, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+    SELECT q.*, entry, list_sum(list_transform(range(1, len(q.x) + 1), lambda j: (q.x[j] - c.x[j]) ** 2)) AS d
+    FROM q JOIN c{i} c USING (part)) GROUP BY ALL)""")
+        if i < rounds:
+            steps.append(f"""
+u{i} AS (SELECT part, entry, list(m ORDER BY j) AS x FROM (
+    SELECT part, entry, j, floor(sum(x[j]) / count(*)) AS m FROM (SELECT *, unnest(range(1, len(x) + 1)) AS j FROM a{i}) GROUP BY ALL)
+  GROUP BY ALL),
+c{i + 1} AS (SELECT part, entry, coalesce(u.x, c.x) AS x FROM c{i} c LEFT JOIN u{i} u USING (part, entry))""")
+    return f"""
+WITH {_INTEGERS},
+r AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM v),
+q AS (SELECT vec_id, label, place, part, x[part * len(x) // 16 + 1:(part + 1) * len(x) // 16] AS x
+  FROM (SELECT *, unnest(range(16)) AS part FROM r)),
+c0 AS (SELECT part, place AS entry, x FROM q WHERE place < 64),{",".join(steps)},
+e AS (SELECT vec_id, label, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY ALL)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda c: c::BIGINT), ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM e"""
+
+
+@register(_codes_sql())
+def op13_ball_kmeans(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(table(spark, folder, "embeddings"))
