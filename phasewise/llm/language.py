@@ -84,9 +84,9 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, accepted)"""
         total, n, letters = 0.0, 0, False
-        for buckets, some in stretches(text or ""):
+        for buckets, some in stretches(text or "") if self.languages else ():
             total, n, letters = total + self.table[buckets].sum(0), n + len(buckets), letters or some
-        if not letters or not self.languages:
+        if not letters:
             return UNKNOWN, 0.0, False
         p = self.scores(total / n)
         best = int(p.argmax())
