@@ -9,16 +9,20 @@ Before that, the shingles that each posted class has in common with any other ar
 classes cannot share more than the smaller of their counts.  This rules out most pairs of a large
 group of loose copies, whose own edits occur nowhere else.  For what the first links leave apart,
 shingles of two or three classes count as well: classes that share such a one meet by it, and all
-others cannot share any.
+others cannot share any.  What is left of two classes' intersection lies inside the set of the hub they were
+both compared with, where the smaller of their shares bounds it, or outside, where the smaller
+rest does.  A class is joined only to the sizes and rests that this bound leaves possible, so
+pairs that are ruled out do not become rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, cut, python_tasks
@@ -73,45 +77,53 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "content", "n_shingles", "node", "signature"])
 
 
-def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _list_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes = batch.column(0).to_numpy()
         for row, hashes, first in shingles(batch.column(1)):
-            node = np.repeat(nodes[row : row + len(first) - 1], np.diff(first))
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(hashes.view(np.int64))], ["node", "shingle"])
+            n = len(first) - 1
+            sets = [hashes[first[i] : first[i + 1]].tobytes() for i in range(n)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(row, n), pa.array(np.diff(first).astype(np.int64)), pa.array(sets, pa.binary())],
+                ["node", "size", "hashes"])
+
+
+def _set(packed: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(packed.as_buffer(), np.int64)
 
 
-def _compare(percent: int):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = ([h[f[i] : f[i + 1]] for _, h, f in shingles(batch.column(c)) for i in range(len(f) - 1)]
-                           for c in (2, 3))
-            alike = []
-            for a, b in zip(left, right, strict=True):
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                alike.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(alike, pa.bool_()))
+def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for node, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            own = _set(packed)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "shingle"])
 
-    return compare
+
+def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        both = [len(np.intersect1d(_set(a), _set(b), assume_unique=True))
+                for a, b in zip(batch.column(4), batch.column(5), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(both, pa.int64())], ["u", "v", "nu", "nv", "both"])
 
 
 def _agreeing(a: str, b: str):
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Of the distinct (u, v) those that agree on enough coordinates and then on their full sets."""
+def _measured(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(u, v, both, linked) of the distinct (u, v) that agree on enough coordinates: the size of the
+    intersection of their full sets, and whether that makes a link."""
     left = classes.select(F.col("node").alias("u"), F.col("signature").alias("su"))
     right = classes.select(F.col("node").alias("v"), F.col("signature").alias("sv"))
     passed = pairs.join(left, "u").join(right, "v").where(_agreeing("su", "sv") >= THRESHOLD).select("u", "v")
-    both = passed.join(texts.withColumnRenamed("node", "u").withColumnRenamed("text", "tu"), "u").join(
-        texts.withColumnRenamed("node", "v").withColumnRenamed("text", "tv"), "v").select("u", "v", "tu", "tv")
-    return both.mapInArrow(_compare(percent), "u long, v long")
+    ends = [sets.select(F.col("node").alias(x), F.col("size").alias(f"n{x}"), F.col("hashes").alias(f"s{x}")) for x in "uv"]
+    both = passed.join(ends[0], "u").join(ends[1], "v").select("u", "v", "nu", "nv", "su", "sv")
+    linked = F.col("both") * 100 >= (F.col("nu") + F.col("nv") - F.col("both")) * percent
+    return both.mapInArrow(_intersect, "u long, v long, nu long, nv long, both long").select("u", "v", "both", linked.alias("linked"))
 
 
-def _rare_shingles(texts: DataFrame) -> DataFrame:
+def _rare_shingles(sets: DataFrame) -> DataFrame:
     """(n, nodes) of every shingle that only n = 1, 2 or 3 classes have."""
-    found = texts.select("node", "text").mapInArrow(_list_shingles, "node long, shingle long").groupBy("shingle").agg(
+    found = sets.select("node", "hashes").mapInArrow(_list_shingles, "node long, shingle long").groupBy("shingle").agg(
         F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi"), F.bit_xor("node").alias("all"))
     between = F.col("all").bitwiseXOR(F.col("lo")).bitwiseXOR(F.col("hi"))
     nodes = (F.when(F.col("n") == 1, F.array("lo")).when(F.col("n") == 2, F.array("lo", "hi"))
@@ -141,11 +153,35 @@ def _sharing_rare(rare: DataFrame, grouped: DataFrame) -> DataFrame:
         F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
 
 
-def _may_link(a: str, b: str, percent: int, common: str):
-    most = F.least(f"{a}.{common}", f"{b}.{common}")
+def _may_link(a: str, b: str, percent: int, most: Column):
     return most * 100 >= (F.col(f"{a}.size") + F.col(f"{b}.size") - most) * percent
 
 
+BAND = 1.01  # sizes of a band differ by less than this factor
+REST = 8  # rests from here on are joined as one
+UNKNOWN = -1  # the rest of a class not compared with the hub
+
+
+def _band(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / math.log(BAND) + 1e-9).cast("int")
+
+
+def _reachable(outside: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """`outside` with `to`: the (band, rest) of its list, one row each, in which a partner may lie."""
+    kinds = held.groupBy("k", "value").agg(F.collect_set("kind").alias("kinds"))  # some bands of sizes by REST rests
+    inside = F.coalesce("inside", "often")
+
+    def possible(kind: Column) -> Column:
+        rest = F.when(kind["rest"] == REST, F.col("rest")).otherwise(F.least(F.col("rest"), kind["rest"]))
+        most = F.when(F.col("inside").isNull() | (kind["rest"] == UNKNOWN), F.col("often")).otherwise(
+            F.least(F.col("often"), inside + rest))
+        # The partner is as large as its band's smallest size at least.
+        smallest = F.pow(F.lit(BAND), kind["band"]) * (1 - 1e-6)
+        return most * 100 >= (F.col("size") + smallest - most) * percent
+
+    return outside.join(kinds, ["k", "value"]).withColumn("to", F.explode(F.filter("kinds", possible))).drop("kinds")
+
+
 def _postings(classes: DataFrame) -> DataFrame:
     """(k, value, node, at, n): the prefix of each class's shared coordinate values, rarest first.
 
@@ -186,40 +222,53 @@ def duplicate_groups(docs: DataFrame, percent: int = 80, key: str = "doc_id", te
             F.first("n_shingles").alias("size")), "classes")
     postings = cut(_postings(classes), "postings")
     wanted = classes.join(postings.select("node").distinct(), "node", "left_semi").select("node", "content", "size")
-    texts = cut(
-        rows.join(wanted, "content").groupBy("node", "size").agg(F.first("text").alias("text")), "texts")
-    rare = _rare_shingles(texts)
-    posted = cut(_bounded(postings, texts.select("node", "size"), rare, percent), "bounded")
-    texts = texts.select("node", "text")
+    texts = rows.join(wanted, "content").groupBy("node").agg(F.first("text").alias("text"))
+    sets = cut(texts.mapInArrow(_list_sets, "node long, size long, hashes binary"), "sets")
+    rare = _rare_shingles(sets)
+    posted = cut(_bounded(postings, sets.select("node", "size"), rare, percent), "bounded")
 
     # A list's hub is the member that has most of its set in common with others.
-    rank = F.struct(F.col("common") / F.col("size"), F.col("node"), F.col("common"), F.col("size"))
-    first = posted.groupBy("k", "value").agg(F.max(rank).alias("hub")).select(
-        "k", "value", F.col("hub.node").alias("node"), F.col("hub.common").alias("common"), F.col("hub.size").alias("size"))
+    traits = ["common", "size", "often"]
+    rank = F.struct(F.col("common") / F.col("size"), F.col("node"), *traits)
+    first = cut(posted.groupBy("k", "value").agg(F.max(rank).alias("hub")).select("k", "value", "hub.node", *[f"hub.{t}" for t in traits]), "hubs")
     hub, member = first.alias("a"), posted.alias("b")
     stars = hub.join(
         member, (F.col("a.k") == F.col("b.k")) & (F.col("a.value") == F.col("b.value"))
-        & (F.col("a.node") != F.col("b.node")) & _may_link("a", "b", percent, "common")
+        & (F.col("a.node") != F.col("b.node")) & _may_link("a", "b", percent, F.least("a.common", "b.common"))
     ).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    links = cut(_confirmed(stars, classes, texts, percent), "links")
-    grouped = components(links)
+    measured = cut(_measured(stars, classes, sets, percent), "measured")
+    grouped = components(measured.where("linked"))
 
     placed = posted.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = placed.groupBy("k", "value", "component").agg(F.count("*").alias("members"))
     open_lists = parts.groupBy("k", "value").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("most"))
     open_lists = open_lists.where("parts > 1").select("k", "value", F.col("most.component").alias("most"))
+    hubs = first.select("k", "value", F.col("node").alias("hub"), (F.col("common") - F.col("often")).alias("hub_seldom"))
     # A pair counts in the first list that both its classes are in: none before it is common.
     posting = F.shiftleft(F.col("k").cast("long"), 32).bitwiseOR(F.col("value").bitwiseAND(F.lit(0xFFFFFFFF)))
     prefixes = posted.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("at", posting.alias("p"))))["p"].alias("prefix"))
-    held = cut(placed.join(open_lists, ["k", "value"]).join(prefixes, "node"), "open")
-    a, b = held.where("component <> most").alias("a"), held.alias("b")
-    rest = a.join(
-        b, (F.col("a.k") == F.col("b.k")) & (F.col("a.value") == F.col("b.value"))
-        & (F.col("a.component") != F.col("b.component")) & _may_link("a", "b", percent, "often")
+    inside = F.when(F.col("node") == F.col("hub"), F.col("size")).otherwise(F.col("both"))
+    # At most so many of the shingles in the hub's set are rare ones, which `often` leaves out.
+    seldom = F.least(F.col("common") - F.col("often"), F.col("hub_seldom"))
+    rest = F.when(F.col("inside").isNull(), F.lit(UNKNOWN)).otherwise(F.greatest(F.col("often") - F.col("inside") + seldom, F.lit(0)))
+    held = cut(
+        placed.join(open_lists.join(hubs, ["k", "value"]), ["k", "value"])
+        .join(measured.select(F.col("u").alias("hub"), F.col("v").alias("node"), "both"), ["hub", "node"], "left")
+        .withColumn("inside", inside).withColumn("rest", rest)
+        .withColumn("kind", F.struct(_band(F.col("size")).alias("band"), F.least("rest", F.lit(REST)).alias("rest")))
+        .select("k", "value", "node", "component", "most", "size", "often", "inside", "rest", "kind", "at")
+        .join(prefixes, "node"), "open")
+    a, b = _reachable(held.where("component <> most"), held, percent).alias("a"), held.alias("b")
+    within = F.when(F.col("a.inside").isNotNull() & F.col("b.inside").isNotNull(),
+                    F.least("a.inside", "b.inside") + F.least("a.rest", "b.rest"))
+    more = a.join(
+        b, (F.col("a.k") == F.col("b.k")) & (F.col("a.value") == F.col("b.value")) & (F.col("a.to") == F.col("b.kind"))
+        & (F.col("a.component") != F.col("b.component"))
+        & _may_link("a", "b", percent, F.least("a.often", "b.often", within))  # least skips a null
         & ((F.col("b.component") == F.col("b.most")) | (F.col("a.node") < F.col("b.node")))
         & ~F.arrays_overlap(F.slice("a.prefix", F.lit(1), F.col("a.at")), F.col("b.prefix"))
     ).select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v"))
-    more = _confirmed(rest.union(_sharing_rare(rare, grouped)).distinct(), classes, texts, percent)
+    more = _measured(more.union(_sharing_rare(rare, grouped)).distinct(), classes, sets, percent).where("linked").select("u", "v")
     stars_of = grouped.select(F.col("node").alias("u"), F.col("component").alias("v"))
     final = components(stars_of.unionByName(more))
 

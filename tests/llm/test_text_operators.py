@@ -1,5 +1,6 @@
 """Operators on texts against plain Python."""
 
+import random
 import re
 from collections import Counter
 
@@ -54,6 +55,30 @@ def test_near_duplicates(docs, percent):
     assert got == {i: (len(sets[i]), group[i], group[i] == i) for i in sets}
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_a_large_group_of_loose_copies(spark, percent):
+    """Copies around one text, of which some link only through another, and edits that many share."""
+    rnd = random.Random(percent)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(500):
+        words = list(base)
+        for _ in range(rnd.randint(0, 9)):
+            at = rnd.randrange(len(words))
+            words[at] = rnd.choice(["often", f"own{i}", "seldom" if i % 9 else "two"])
+        if i % 50 == 0:
+            words += [f"tail{i // 100}{j}" for j in range(30)]  # two each share a longer tail
+        if i % 31 == 0:
+            del words[:20]
+        rows.append((i, " ".join(words)))
+    sets = shingle_sets(dict(rows))
+    group = groups(sets, percent)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(pairs(minhash.duplicate_groups(frame, percent), "n_shingles", "component_id", "kept"))
+    assert got == {i: (len(sets[i]), group[i], group[i] == i) for i in sets}
+    assert 2 < len(set(group.values())) < 480
+
+
 def test_one_document_of_each_group_stays(docs):
     group = groups(shingle_sets(held(docs)), 80)
     left = minhash.deduplicate(docs)
