@@ -30,8 +30,8 @@ LANCZOS = (
 
 TINY = 1e-300
 NEWTON_STEPS = 6
-# Above this many degrees of freedom t is normal and F is chi-square to well below 1e-6.
-LARGE_DF = 1_000_000.0
+# From here on four terms of Stirling's series are exact to the last bits.
+STIRLING_FROM = 16
 
 
 def _d(x) -> Column:
@@ -47,10 +47,56 @@ def log_gamma(x: Column) -> Column:
     return 0.5 * math.log(2 * math.pi) + (x - 0.5) * F.log(t) - t + F.log(series)
 
 
+def _gamma_step(a: Column) -> Column:
+    """log of gamma(a + 1/2) / (gamma(a) sqrt(a)), which falls to nothing for large a."""
+    half = a + 0.5
+    return (
+        stirling_rest(half) - stirling_rest(a) + a * F.log1p(0.5 / a) - 0.5
+    )
+
+
 def log_factorial(n: Column) -> Column:
     return log_gamma(n.cast("double") + 1)
 
 
+def stirling_rest(n: Column) -> Column:
+    """log n! minus Stirling's sqrt(2 pi n) (n / e)^n, for positive n."""
+
+    def body(v) -> Column:
+        n, square = v["n"], v["s"]
+        series = (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / square) / square) / square) / n
+        plain = log_gamma(n + 1) - 0.5 * F.log(2 * math.pi * n) - n * F.log(n) + n
+        return F.when(n >= STIRLING_FROM, series).otherwise(plain)
+
+    return bind({"n": n, "s": n * n}, body)
+
+
+def deviance(x: Column, mean: Column) -> Column:
+    """x log(x / mean) + mean - x without cancellation of large terms."""
+    return bind(
+        {"m": mean, "d": (x - mean) / mean}, lambda v: v["m"] * ((1 + v["d"]) * F.log1p(v["d"]) - v["d"])
+    )
+
+
+def log_binomial(x: Column, n: Column, p: Column, q: Column) -> Column:
+    """Log probability of x of n successes at chance p = 1 - q, as saddle point and corrections.
+
+    Differences of log factorials lose as many digits as n has; this loses none.
+    """
+
+    def body(v) -> Column:
+        x, n, y, p, q = (v[k] for k in ("x", "n", "y", "p", "q"))
+        inside = (
+            stirling_rest(n) - stirling_rest(x) - stirling_rest(y)
+            - deviance(x, n * p) - deviance(y, n * q)
+            + 0.5 * F.log(n / (2 * math.pi * x * y))
+        )
+        none = F.when(n == 0, 0.0).otherwise(n * F.log(q))
+        return F.when(x == 0, none).when(y == 0, n * F.log(p)).otherwise(inside)
+
+    return bind({"x": x, "n": n, "y": n - x, "p": p, "q": q}, body)
+
+
 def _safe(x: Column) -> Column:
     return F.when(F.abs(x) < TINY, F.lit(TINY)).otherwise(x)
 
@@ -74,26 +120,30 @@ def _iterate(init: dict[str, Column], steps: Column, step, result) -> Column:
     )
 
 
-def _beta_fraction(x: Column, a: Column, b: Column) -> Column:
-    """Continued fraction of the incomplete beta function, evaluated front to back."""
-    d0 = 1 / _safe(1 - (a + b) * x / (a + 1))
+def _beta_fraction(x: Column, y: Column, a: Column, b: Column) -> Column:
+    """x^a y^b / B(a, b) over I_x(a, b): a continued fraction in which x meets its complement y
+    only as a y - b x, so that an x next to 1 loses nothing."""
+
+    def denominator(m) -> Column:
+        return m + m * (b - m) * x / (a + 2 * m - 1) + (a + m) * (a * y - b * x + 1 + m * (1 + y)) / (a + 2 * m + 1)
 
     def step(s, m):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        d1 = 1 / _safe(1 + even * s["d"])
-        c1 = _safe(1 + even / s["c"])
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        d2 = 1 / _safe(1 + odd * d1)
-        c2 = _safe(1 + odd / c1)
-        return {"c": c2, "d": d2, "h": s["h"] * d1 * c1 * d2 * c2}
+        below = denominator(m)
+        share = (a + m - 1) * (a + b + m - 1) * m * (b - m) * x * x / ((a + 2 * m - 1) * (a + 2 * m - 1))
+        d = 1 / _safe(below + share * s["d"])
+        c = _safe(below + share / s["c"])
+        return {"c": c, "d": d, "h": s["h"] * c * d}
 
-    steps = _steps(F.greatest(a, b))
-    return _iterate({"c": F.lit(1.0), "d": d0, "h": d0}, steps, step, lambda s: s["h"])
+    start = _safe(a * (a * y - b * x + 1) / (a + 1))
+    steps = _steps(F.greatest(a, b) / 4)  # each step is worth two of the plain fraction's
+    return _iterate({"c": start, "d": F.lit(0.0), "h": start}, steps, step, lambda s: s["h"])
 
 
-def beta_inc(x: Column, a: Column, b: Column) -> Column:
-    """Regularised incomplete beta function I_x(a, b)."""
-    return bind({"x": _d(x), "a": _d(a), "b": _d(b)}, _beta_by_side)
+def beta_inc(x: Column, a: Column, b: Column, rest: Column | None = None) -> Column:
+    """Regularised incomplete beta function I_x(a, b).  Give ``rest``, 1 - x, where it is known
+    better than x near 1 can tell."""
+    y = 1 - _d(x) if rest is None else _d(rest)
+    return bind({"x": _d(x), "y": y, "a": _d(a), "b": _d(b)}, _beta_by_side)
 
 
 def _beta_by_side(v) -> Column:
@@ -101,15 +151,21 @@ def _beta_by_side(v) -> Column:
     flip = v["x"] > (v["a"] + 1) / (v["a"] + v["b"] + 2)
     sides = {
         "flip": flip,
-        "x": F.when(flip, 1 - v["x"]).otherwise(v["x"]),
+        "x": F.when(flip, v["y"]).otherwise(v["x"]),
+        "y": F.when(flip, v["x"]).otherwise(v["y"]),
         "a": F.when(flip, v["b"]).otherwise(v["a"]),
         "b": F.when(flip, v["a"]).otherwise(v["b"]),
     }
 
     def body(s) -> Column:
-        x, a, b = s["x"], s["a"], s["b"]
-        log_front = log_gamma(a + b) - log_gamma(a) - log_gamma(b) + a * F.log(x) + b * F.log(1 - x)
-        part = F.exp(log_front) / a * _beta_fraction(x, a, b)
+        x, y, a, b = s["x"], s["y"], s["a"], s["b"]
+        # x^a y^b / B(a, b)
+        log_front = (
+            stirling_rest(a + b) - stirling_rest(a) - stirling_rest(b)
+            - deviance(a, (a + b) * x) - deviance(b, (a + b) * y)
+            + 0.5 * F.log(a * b / (2 * math.pi * (a + b)))
+        )
+        part = F.exp(log_front) / _beta_fraction(x, y, a, b)
         return bind({"p": part}, lambda q: F.when(s["flip"], 1 - q["p"]).otherwise(q["p"]))
 
     inside = F.when(v["x"].isNotNull(), bind(sides, body))
@@ -123,7 +179,8 @@ def chi2_sf(x: Column, df: Column) -> Column:
 
 def _gamma_upper(a: Column, y: Column) -> Column:
     """Regularised upper incomplete gamma function: series left of the mean, fraction right."""
-    front = F.exp(-y + a * F.log(y) - log_gamma(a))
+    # y^a e^-y / gamma(a)
+    front = F.exp(0.5 * F.log(a / (2 * math.pi)) - stirling_rest(a) - deviance(a, y))
     series = _iterate(
         {"term": 1 / a, "sum": 1 / a},
         _steps(a),
@@ -159,8 +216,8 @@ def f_sf(f: Column, df1: Column, df2: Column) -> Column:
 
     def body(v) -> Column:
         f, df1, df2 = v["f"], v["n"], v["d"]
-        small = beta_inc(df2 / (df2 + df1 * f), df2 / 2, df1 / 2)
-        return F.when(df2 > LARGE_DF, chi2_sf(f * df1, df1)).otherwise(small)
+        both = df2 + df1 * f
+        return beta_inc(df2 / both, df2 / 2, df1 / 2, df1 * f / both)
 
     return bind({"f": _d(f), "n": _d(df1), "d": _d(df2)}, body)
 
@@ -180,8 +237,8 @@ def t_quantile(level: float, df: Column) -> Column:
     tail = 1 - level
 
     def density(t: Column, df: Column) -> Column:
-        log_front = log_gamma((df + 1) / 2) - log_gamma(df / 2) - 0.5 * F.log(df * math.pi)
-        return F.exp(log_front - (df + 1) / 2 * F.log(1 + t * t / df))
+        ratio = 0.5 * F.log(df / 2) + _gamma_step(df / 2)
+        return F.exp(ratio - 0.5 * F.log(df * math.pi) - (df + 1) / 2 * F.log1p(t * t / df))
 
     def refine(df: Column) -> Column:
         start = z + F.lit((z**3 + z) / 4) / df + F.lit((5 * z**5 + 16 * z**3 + 3 * z) / 96) / df**2

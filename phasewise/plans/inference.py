@@ -26,7 +26,6 @@ from phasewise.sources.readers import phase_averages
 MAGNITUDES = ((0.2, "negligible"), (0.5, "small"), (0.8, "moderate"))
 COMPARISONS = ((2, 1), (3, 1), (3, 2))
 ADJUSTMENTS = ("none", "bonferroni", "holm", "hochberg", "BH", "BY")
-FISHER_TABLES = 200_000
 
 
 def magnitude(d: Column) -> Column:
@@ -529,119 +528,208 @@ def chi_square_tests(counts: DataFrame) -> DataFrame:
     )
 
 
+TIE = 1e-7  # tables up to this much likelier than the observed one count as equally likely
+
+
+def _tilted(x: Column, n: Column) -> Column:
+    """Log weight of giving x of n rows to the first group: n choose x, tilted by the group's share.
+
+    The tilt is the same for every table with the observed margins, so it cancels; it keeps the logs small."""
+    return dist.log_binomial(x.cast("double"), n.cast("double"), F.col("share"), F.col("other"))
+
+
+def _likeliest(left: Column, rest: Column, others: Column) -> Column:
+    """No way of giving `left` of the `rest` rows of the other levels to the first group weighs
+    more, in logs, than this: each level at its own peak under the multiplier that fits."""
+    p, q = left / rest, (rest - left) / rest
+
+    def peak(r: Column) -> Column:
+        return dist.log_binomial(F.least(F.floor((r + 1) * p), r).cast("double"), r.cast("double"), p, q)
+
+    # The multiplier turns weights at share p into weights at the common share.
+    turn = left * F.log(F.col("share") / p) + (rest - left) * F.log(F.col("other") / q)
+    inside = F.aggregate(others, F.lit(0.0), lambda acc, r: acc + peak(r)) + turn
+    ends = F.when(left == 0, rest * F.log(F.col("other"))).when(left == rest, rest * F.log(F.col("share")))
+    return F.coalesce(ends.cast("double"), inside)
+
+
+def _tail(x: Column, last: Column, toward: int, v: dict[str, Column]) -> Column:
+    """Sum of the weights of x, x - toward, ... up to `last`, away from the mode, over that of x.
+
+    Neighbouring weights of two levels of a and b rows differ by a ratio of whole numbers, which
+    falls away from the mode: after some multiple of the deviation the rest is below the last bit."""
+    a, b, left = v["a"], v["b"], v["left"]
+    share = left / (a + b)
+    spread = F.sqrt(share * (1 - share) * a * b / (a + b))
+    steps = F.least(F.abs(x - last), F.ceil(12 * spread + 60).cast("double"))
+
+    def ratio(y: Column) -> Column:
+        if toward > 0:  # from y down to y - 1
+            return y * (b - left + y) / ((a - y + 1) * (left - y + 1))
+        return (a - y) * (left - y) / ((y + 1) * (b - left + y + 1))
+
+    def add(s: Column, i: Column) -> Column:
+        term = s["term"] * ratio(x - toward * (i - 1))
+        return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
+
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+    walk = F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1.0)).cast("long")), lambda i: i.cast("double"))
+    return F.when(steps < 1, 1.0).otherwise(F.aggregate(walk, start, add, lambda s: s["sum"]))
+
+
+def _last_two(left: Column, a: Column, b: Column, limit: Column) -> Column:
+    """Chance, given the past, of the ways to deal `left` to two last levels of a and b rows whose
+    log weight is at most `limit`: both tails of one hypergeometric row, found by bisection."""
+    given = {"a": a.cast("double"), "b": b.cast("double"), "left": left.cast("double"), "limit": limit}
+
+    def ends(v) -> dict[str, Column]:
+        mode = F.floor((v["left"] + 1) * (v["a"] + 1) / (v["a"] + v["b"] + 2)).cast("double")
+        low, high = F.greatest(v["left"] - v["b"], F.lit(0.0)), F.least(v["a"], v["left"])
+        return v | {"low": low, "high": high, "mode": F.greatest(F.least(mode, high), low)}
+
+    def weight(x: Column, v) -> Column:
+        return _tilted(x, v["a"]) + _tilted(v["left"] - x, v["b"])
+
+    def edge(v, end: str) -> Column:
+        """The place nearest to the mode, from `end`, whose weight is within the limit."""
+        def halve(s: Column, _) -> Column:
+            middle = F.floor((s["good"] + s["bad"]) / 2) if end == "low" else F.ceil((s["good"] + s["bad"]) / 2)
+            middle = middle.cast("double")
+            good = weight(middle, v) <= v["limit"]
+            return F.struct(F.when(good, middle).otherwise(s["good"]).alias("good"),
+                            F.when(good, s["bad"]).otherwise(middle).alias("bad"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(54)), F.struct(v[end].alias("good"), v["mode"].alias("bad")),
+                           halve, lambda s: s["good"])
+
+    def mass(v, end: str) -> Column:
+        def sum_from(u) -> Column:
+            total = F.exp(weight(u["x"], v)) * _tail(u["x"], v[end], 1 if end == "low" else -1, v)
+            return F.when(weight(v[end], v) <= v["limit"], total).otherwise(0.0)
+
+        return bind({"x": edge(v, end)}, sum_from)
+
+    def both(v) -> Column:
+        every = F.exp(dist.log_binomial(v["left"], v["a"] + v["b"], F.col("share"), F.col("other")))
+        return F.when(weight(v["mode"], v) <= v["limit"], every).otherwise(mass(v, "low") + mass(v, "high"))
+
+    return bind(given, lambda v: bind(ends(v), both))
+
+
 def fisher_tests(
-    counts: DataFrame,
-    first: str,
-    max_tables: int = FISHER_TABLES,
-    only_below: float | None = None,
+    counts: DataFrame, first: str, only_below: float | None = None, levels: int | None = None
 ) -> DataFrame:
-    """Fisher's exact test of levels against two groups, per variable.
-
-    All tables with the observed margins are enumerated level by level on the one result row
-    of the variable; the largest level takes what is left, so it multiplies nothing.  A
-    variable with more than ``max_tables`` of them gets no p-value, and callers fall back to
-    chi-square.  Every level at least doubles the tables, so levels are gathered only up to
-    log2(max_tables) + 1 of them.  ``only_below`` skips variables whose smallest expected
-    count is not below it.
+    """Fisher's exact test of levels against two groups, per variable, for tables of any size.
+
+    The p-value is the chance of all tables with the observed margins that are no likelier than
+    the observed one.  They are never listed.  Levels are dealt one after the other, smallest
+    first, over rows: a row says how many of the first group are left and how likely the levels
+    so far made it; equal rows are merged with their number.  A row that no ending can lift above the
+    observed table counts whole at once, one that is above it already counts nothing, and the last
+    two levels are the two tails of one hypergeometric row.  A 2x2 table needs no dealing at all.
+
+    ``levels`` is the largest number of levels of a variable, which sets the length of the plan;
+    without it one small job reads it.  ``only_below`` skips variables whose smallest expected
+    count is not below it.  Rows: variable, n_tables (with the margins; one level is left to the
+    others, so larger ones may count tables that don't fit), p_value.  A variable of one level or one group has p = 1.
     """
     level = counts.groupBy("variable", "level").agg(
         F.sum("n").alias("r"),
         F.sum(F.when(F.col("by") == first, F.col("n")).otherwise(0)).alias("a"),
-    )
+    ).filter("r > 0")
     total = level.groupBy("variable").agg(
         F.sum("a").alias("c1"),
         F.sum("r").alias("total"),
-        F.min("r").alias("__least"),
-        F.count("*").alias("__levels"),
+        # The levels of one variable, as many as its table has rows.
+        F.sort_array(F.collect_list(F.struct("r", "level", "a"))).alias("rows"),
     )
-    listable = F.col("__levels") <= math.floor(math.log2(max_tables)) + 1
     if only_below is not None:
         smaller = F.least(F.col("c1"), F.col("total") - F.col("c1"))
-        listable = listable & (F.col("__least") * smaller / F.col("total") < only_below)
-    listed = (
-        level.join(total, "variable")
-        .groupBy("variable", "c1", "total")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.when(listable, F.struct("r", "level", "a")))
-            ).alias("rows")
-        )
-    )
-
-    def log_choose(n: Column, x: Column) -> Column:
-        return dist.log_factorial(n) - dist.log_factorial(x) - dist.log_factorial(n - x)
-
-    # The largest level is determined by the others.
-    free = F.slice("rows", F.lit(1), F.size("rows") - 1)
-    n_tables = F.aggregate(
-        free, F.lit(1.0), lambda acc, r: acc * (F.least(r["r"], F.col("c1")) + 1).cast("double")
-    )
-    tables = listed.withColumn("n_tables", F.when(F.size("rows") > 0, n_tables))
-
-    def place(states: Column, r: Column) -> Column:
-        """Give the level every possible count of the first group."""
-        return F.flatten(
-            F.transform(
-                states,
-                lambda s: F.transform(
-                    F.sequence(F.lit(0).cast("long"), F.least(r["r"], s["left"])),
-                    lambda x: F.struct(
-                        (s["left"] - x).alias("left"), (s["lp"] + log_choose(r["r"], x)).alias("lp")
-                    ),
-                ),
-            )
-        )
-
-    start = F.array(F.struct(F.col("c1").alias("left"), F.lit(0.0).alias("lp")))
-    largest = F.element_at("rows", -1)["r"]
-    fitting = F.transform(
-        F.filter(F.aggregate(free, start, place), lambda s: s["left"] <= largest),
-        lambda s: s["lp"] + log_choose(largest, s["left"]),
-    )
-    observed = F.aggregate("rows", F.lit(0.0), lambda acc, r: acc + log_choose(r["r"], r["a"]))
-    known = {
-        "logs": fitting, "seen": observed, "base": log_choose(F.col("total"), F.col("c1"))
-    }
-    p = bind(
-        known,
-        lambda v: F.aggregate(
-            F.filter(v["logs"], lambda lp: lp <= v["seen"] + 1e-7),
-            F.lit(0.0),
-            lambda acc, lp: acc + F.exp(lp - v["base"]),
+        total = total.filter(F.col("rows")[0]["r"] * smaller / F.col("total") < only_below)
+    size = F.size("rows")
+    free = F.slice("rows", F.lit(1), size - 1)  # the largest level is determined by the others
+    chances = {
+        "share": F.col("c1") / F.col("total"),
+        "other": (F.col("total") - F.col("c1")) / F.col("total"),
+        "sizes": F.transform("rows", lambda r: r["r"]),
+        "n_tables": F.aggregate(
+            free, F.lit(1.0), lambda acc, r: acc * (F.least(r["r"], F.col("c1")) + 1).cast("double")
         ),
-    )
-    return tables.select(
-        "variable",
-        "n_tables",
-        F.when(F.col("n_tables") <= max_tables, F.least(p, F.lit(1.0))).alias("p_value"),
+    }
+    known = total.withColumns(chances).withColumns(
+        {
+            "limit": F.aggregate("rows", F.lit(0.0), lambda acc, r: acc + _tilted(r["a"], r["r"])) + TIE,
+            "base": dist.log_binomial(F.col("c1").cast("double"), F.col("total").cast("double"), F.col("share"), F.col("other")),
+            "open": (size > 1) & (F.col("c1") > 0) & (F.col("c1") < F.col("total")),
+        }
+    ).drop("rows", "total")
+    if levels is None:
+        levels = (known.filter("open").agg(F.max(F.size("sizes"))).first()[0] or 2)  # one number
+
+    keys = ["variable", "n_tables", "share", "other", "sizes", "limit", "base"]
+    state = known.filter("open").select(
+        *keys, F.col("c1").alias("left"), F.lit(0.0).alias("past"), F.lit(1.0).alias("ways"), F.lit(0.0).alias("sum"))
+    for done in range(levels - 2):
+        state = _dealt(state, done, keys)
+    a, b = F.element_at("sizes", -2), F.element_at("sizes", -1)
+    ending = F.when(F.col("left").isNotNull(), F.col("ways") * F.exp(F.col("past") - F.col("base"))
+                    * _last_two(F.col("left"), a, b, F.col("limit") - F.col("past")))
+    tested = state.withColumn("sum", F.col("sum") + F.coalesce(ending, F.lit(0.0))).groupBy("variable", "n_tables").agg(
+        F.least(F.sum("sum"), F.lit(1.0)).alias("p_value"))
+    trivial = known.filter("NOT open").select("variable", "n_tables", F.lit(1.0).alias("p_value"))
+    return tested.unionByName(trivial)
+
+
+def _dealt(state: DataFrame, done: int, keys: list[str]) -> DataFrame:
+    """The next level of every variable that has more than two to come.  ``sum`` holds what is
+    counted already; rows without ``left`` carry nothing else."""
+    r = F.col("sizes")[done]
+    others = F.slice("sizes", done + 2, F.size("sizes"))
+    rest = F.aggregate(others, F.lit(0).cast("long"), lambda acc, n: acc + n)
+    going = F.col("left").isNotNull() & (F.size("sizes") > done + 2)
+    fitting = F.sequence(F.greatest(F.col("left") - rest, F.lit(0).cast("long")), F.least(r, F.col("left")))
+    kept = F.lit(None).cast("long")
+    dealt = state.withColumn("x", F.explode(F.when(going, fitting).otherwise(F.array(kept))))
+    dealt = dealt.withColumns({"__r": r, "__others": others, "__rest": rest})
+    moved = F.col("x").isNotNull()
+    dealt = dealt.withColumn("past", F.when(moved, F.col("past") + _tilted(F.col("x"), F.col("__r"))).otherwise(F.col("past")))
+    dealt = dealt.withColumn("left", F.when(moved, F.col("left") - F.col("x")).otherwise(F.col("left")))
+    left, over = F.col("left").cast("double"), F.col("__rest").cast("double")
+    whole = moved & (F.col("past") + _likeliest(left, over, F.col("__others")) <= F.col("limit"))
+    # An ending has one arrangement at least, of which the tilt is what is left.
+    least = left * F.log("share") + (over - left) * F.log("other")
+    none = moved & (F.col("past") + least > F.col("limit"))
+    every = F.col("ways") * F.exp(
+        F.col("past") - F.col("base") + dist.log_binomial(left, over, F.col("share"), F.col("other")))
+    dealt = dealt.withColumns({"__whole": whole, "__none": none})
+    closed = F.col("__whole") | F.col("__none") | F.col("left").isNull()
+    counted = F.when(F.col("__whole"), every).when(F.col("x").isNull(), F.col("sum")).otherwise(0.0)
+    return (
+        dealt.withColumns({"sum": counted, "ways": F.when(closed, 0.0).otherwise(F.col("ways"))})
+        .withColumns({"left": F.when(~closed, F.col("left")), "past": F.when(~closed, F.col("past"))})
+        .groupBy(*keys, "left", F.round("past", 9).alias("__past"))
+        .agg(F.min("past").alias("past"), F.sum("ways").alias("ways"), F.sum("sum").alias("sum"))
+        .drop("__past")
     )
 
 
 def category_tests(
-    df: DataFrame,
-    variables: Sequence[str],
-    group: str,
-    first: str,
-    max_tables: int = FISHER_TABLES,
+    df: DataFrame, variables: Sequence[str], group: str, first: str, levels: int | None = None
 ) -> DataFrame:
     """Chi-square where every expected count is at least 5, else Fisher's exact test.
 
-    Where Fisher's test would need too many tables the chi-square p-value is kept and the
-    method says so.
+    ``levels``: as in :func:`fisher_tests`.
     """
     counts = cross_counts(df, variables, group)
     chi = chi_square_tests(counts)
-    exact = fisher_tests(counts, first, max_tables, only_below=5).withColumnRenamed(
-        "p_value", "__exact"
+    exact = fisher_tests(counts, first, only_below=5, levels=levels).select(
+        "variable", F.col("p_value").alias("__exact")
     )
     sparse = F.col("min_expected") < 5
-    return chi.join(exact, "variable").select(
+    return chi.join(exact, "variable", "left").select(
         "variable",
-        F.when(sparse & F.col("__exact").isNotNull(), F.col("__exact"))
-        .otherwise(F.col("p_value"))
-        .alias("p_value"),
-        F.when(~sparse, "Pearson's Chi-squared test")
-        .when(F.col("__exact").isNotNull(), "Fisher's exact test")
-        .otherwise("Pearson's Chi-squared test, small expected counts")
+        F.when(sparse, F.col("__exact")).otherwise(F.col("p_value")).alias("p_value"),
+        F.when(sparse, "Fisher's exact test")
+        .otherwise("Pearson's Chi-squared test")
         .alias("method"),
     )

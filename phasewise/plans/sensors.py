@@ -4,8 +4,10 @@ Samples are first reduced to one row per participant and minute (combined map-si
 there on a participant day holds at most 1440 rows, so windows over a day stay small however
 unevenly samples are spread over participants.
 
-``date`` and any segment label are the grouping keys throughout (``keys``); a day runs from
-midnight to midnight.
+``date`` and any segment label are the grouping keys throughout (``keys``).  A day runs from
+midnight to midnight; a segment begins on its ``date`` and may end on a later one, and ``minute``
+then counts on over midnight, so that whatever is measured in consecutive minutes sees no seam.
+Sleep belongs to nights, by one rule for summaries and stages (:func:`night_of`).
 """
 
 from __future__ import annotations
@@ -56,28 +58,38 @@ def minute_grid(samples: DataFrame) -> DataFrame:
 def assign_segments(minutes: DataFrame, segments: Sequence[tuple[str, int, int]]) -> DataFrame:
     """Label minutes with the periodic segments (label, start minute, length) they fall into.
 
-    A minute may fall into several segments and then appears once for each.  A segment that
-    runs past midnight belongs to the day it starts on.  The segment list is short, so each
-    row looks itself up in a literal array; no join is needed.
+    A minute may fall into several segments, or into several days' turns of one longer than a
+    day, and then appears once for each.  ``date`` becomes the day the segment starts on and
+    ``minute`` the minutes after that day's midnight, 1440 and more past the next one.
+    ``segment_start`` and ``segment_length`` come along.  The segment list is short, so each row
+    looks itself up in a literal array; no join is needed.
     """
+    turns = [
+        (label, start, length, back)
+        for label, start, length in segments
+        for back in range((start + length - 1) // DAY_MINUTES + 1)
+    ]
     spans = F.array(
         *[
             F.struct(
-                F.lit(label).alias("label"), F.lit(start).alias("start"), F.lit(length).alias("len")
+                F.lit(label).alias("label"),
+                F.lit(start).alias("start"),
+                F.lit(length).alias("len"),
+                F.lit(back).alias("back"),
             )
-            for label, start, length in segments
+            for label, start, length, back in turns
         ]
     )
-    # Offset from the segment's start, today's or yesterday's.
-    hits = F.filter(
-        spans, lambda s: F.pmod(F.col("minute") - s["start"], F.lit(DAY_MINUTES)) < s["len"]
-    )
+    on = lambda s: F.col("minute") + DAY_MINUTES * s["back"]
+    hits = F.filter(spans, lambda s: (on(s) >= s["start"]) & (on(s) < s["start"] + s["len"]))
     out = minutes.withColumn("__s", F.explode(hits))
-    late = F.col("minute") < F.col("__s.start")
     return out.withColumns(
         {
             "local_segment_label": F.col("__s.label"),
-            "date": F.when(late, F.date_sub("date", 1)).otherwise(F.col("date")),
+            "segment_start": F.col("__s.start"),
+            "segment_length": F.col("__s.len"),
+            "date": F.date_sub("date", F.col("__s.back")),
+            "minute": on(F.col("__s")),
         }
     ).drop("__s")
 
@@ -85,24 +97,44 @@ def assign_segments(minutes: DataFrame, segments: Sequence[tuple[str, int, int]]
 # ---- data yield and heart rate ---------------------------------------------------------
 
 
+def _span(minutes: DataFrame) -> tuple[Column, Column]:
+    """First minute and length of what is measured: the segment's, else the whole day's."""
+    if "segment_length" in minutes.columns:
+        return F.col("segment_start"), F.col("segment_length")
+    return F.lit(0), F.lit(DAY_MINUTES)
+
+
+def _by_hour(minutes: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    """One row per hour of the day or segment, counted from its own start: valid minutes, and
+    ``whole`` and ``size`` for the minutes in all and in this hour, the last of which may be short."""
+    start, length = _span(minutes)
+    valid = (F.col("heartrate").isNotNull() & (F.col("heartrate") != 0)).cast("int")
+    hour = F.floor((F.col("minute") - start) / 60)
+    return minutes.groupBy(
+        *keys, length.alias("whole"), F.least(F.lit(60), length - 60 * hour).alias("size"), hour.alias("hour")
+    ).agg(F.sum(valid).alias("valid"), *aggs)
+
+
+def _yields(min_ratio: float) -> list[Column]:
+    """Over the hours of one ``whole``."""
+    good = count_where(F.col("valid") >= min_ratio * F.col("size"))
+    return [
+        (F.sum("valid") / F.col("whole").cast("double")).alias("ratiovalidyieldedminutes"),
+        (good / F.ceil(F.col("whole") / 60)).alias("ratiovalidyieldedhours"),
+    ]
+
+
 def data_yield(
-    minutes: DataFrame, keys: Sequence[str] = DAY, min_ratio: float = 0.5, length: int = DAY_MINUTES
+    minutes: DataFrame, keys: Sequence[str] = DAY, min_ratio: float = 0.5
 ) -> DataFrame:
-    """Share of valid minutes and of valid hours.
+    """Share of valid minutes and of valid hours of each day, or of each segment's own length.
 
     A minute is valid with a non-missing, non-zero heart rate, an hour when at least
-    ``min_ratio`` of its 60 minutes are.
+    ``min_ratio`` of its minutes are: 60, or what is left of a segment.  Hours of a segment are counted
+    from its start.
     """
-    valid = (F.col("heartrate").isNotNull() & (F.col("heartrate") != 0)).cast("int")
-    hours = minutes.groupBy(*keys, F.floor(F.col("minute") / 60).alias("hour")).agg(
-        F.sum(valid).alias("valid")
-    )
-    return hours.groupBy(*keys).agg(
-        (F.sum("valid") / F.lit(float(length))).alias("ratiovalidyieldedminutes"),
-        (count_where(F.col("valid") >= min_ratio * 60) / F.lit(length / 60)).alias(
-            "ratiovalidyieldedhours"
-        ),
-    )
+    hours = _by_hour(minutes, keys)
+    return hours.groupBy(*keys, "whole").agg(*_yields(min_ratio)).drop("whole")
 
 
 def _distribution(df: DataFrame, keys: Sequence[str], value: str, suffix: str) -> DataFrame:
@@ -229,14 +261,18 @@ def _bout_stats(length: Column, condition: Column, prefix: str) -> list[Column]:
 # ---- steps -----------------------------------------------------------------------------
 
 
-def clean_steps(minutes: DataFrame, max_steps: int = 1000) -> DataFrame:
+MAX_STEPS = 1000
+
+
+def clean_steps(minutes: DataFrame, max_steps: int = MAX_STEPS) -> DataFrame:
     """Drop minutes without steps data or with an implausible count (0 keeps all)."""
     known = minutes.filter(F.col("steps").isNotNull())
     return known.filter(F.col("steps") <= max_steps) if max_steps else known
 
 
 def step_features(minutes: DataFrame, keys: Sequence[str] = DAY) -> DataFrame:
-    """Step sums and statistics; times are minutes after midnight of first and last steps."""
+    """Step sums and statistics; times of first and last steps are minutes after the midnight that
+    the day, or the day a segment starts on, begins with."""
     walked = F.when(F.col("steps") > 0, F.col("minute"))
     return minutes.groupBy(*keys).agg(
         F.sum("steps").alias("sumsteps"),
@@ -442,21 +478,37 @@ def calorie_episode_features(
 # ---- sleep -----------------------------------------------------------------------------
 
 
-def sleep_summary_features(episodes: DataFrame, last_night_end: int = 660) -> DataFrame:
-    """Sleep per participant and day for main sleep, naps and all.
+NIGHT_END = 660  # minutes after midnight
+STAGE_GAP = 300  # seconds without a stage record that end a session
+
+
+def _clock(ts: Column) -> Column:
+    return F.hour(ts) * 60 + F.minute(ts)
+
+
+def night_of(start: Column, last_night_end: int = NIGHT_END) -> Column:
+    """The date of the night that sleep beginning at ``start`` belongs to: until ``last_night_end``
+    (minutes after midnight) the night of the day before goes on."""
+    date = F.to_date(start)
+    return F.when(_clock(start) < last_night_end, F.date_sub(date, 1)).otherwise(date)
+
+
+def _into_night(ts: Column, night: Column) -> Column:
+    """Clock minutes after the midnight that ``night`` began with: 1470 is half past midnight."""
+    return F.datediff(F.to_date(ts), night) * DAY_MINUTES + _clock(ts)
 
-    An episode counts for the day it starts on; one that starts before ``last_night_end``
-    (minutes after midnight) counts for the day before, whose night it belongs to.  Times are
-    minutes after midnight of the episode's own day.
+
+def sleep_summary_features(episodes: DataFrame, last_night_end: int = NIGHT_END) -> DataFrame:
+    """Sleep per participant and night (``date``) for main sleep, naps and all.
+
+    An episode counts for the night it starts in.  Bed and wake times are clock minutes after the
+    midnight of that night's date, so they go on over 1440 and the first is the earliest.
     """
-    start = F.hour("start_ts") * 60 + F.minute("start_ts")
-    rows = episodes.withColumns(
+    rows = episodes.withColumn("date", night_of(F.col("start_ts"), last_night_end))
+    rows = rows.withColumns(
         {
-            "date": F.when(start < last_night_end, F.date_sub(F.to_date("start_ts"), 1)).otherwise(
-                F.to_date("start_ts")
-            ),
-            "__bed": start,
-            "__wake": F.hour("end_ts") * 60 + F.minute("end_ts"),
+            "__bed": _into_night(F.col("start_ts"), F.col("date")),
+            "__wake": _into_night(F.col("end_ts"), F.col("date")),
         }
     )
     durations = {
@@ -493,21 +545,53 @@ def unified_level(level: Column) -> Column:
     return out
 
 
-def sleep_stage_episodes(stages: DataFrame) -> DataFrame:
-    """Sleep stage rows merged into episodes: consecutive rows of one level and sleep type.
+def _starts(ordered, begin: Column, end: str, max_gap: int) -> Column:
+    """1 where ``begin`` lies more than ``max_gap`` seconds after everything before has ended."""
+    reach = F.max(end).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    return (~F.coalesce(begin <= reach + max_gap, F.lit(False))).cast("int")
+
+
+def sleep_sessions(
+    stages: DataFrame, last_night_end: int = NIGHT_END, max_gap: int = STAGE_GAP
+) -> DataFrame:
+    """Stage records with their session: ``date`` (its night) and ``session_start``.
 
-    Rows are ordered by time within a participant day.
+    Records that begin at most ``max_gap`` seconds after all before them have ended go on one
+    session, over midnight too, and a session belongs to the night it begins in.  Of records with the
+    same time the longest counts.  Records are chained within calendar days first; only
+    the chains, a few per day, are put together per participant.
     """
     rows = (
         stages.groupBy("pid", "ts")
-        .agg(
-            F.max("duration_s").alias("duration_s"),
-            F.max("level").alias("level"),
-            F.max("type").alias("type"),
-        )
-        .withColumn("date", F.to_date("ts"))
+        .agg(F.max(F.struct("duration_s", "level", "type")).alias("r"))
+        .select("pid", "ts", "r.*")
+        .withColumns({"day": F.to_date("ts"), "__at": F.unix_seconds(F.col("ts").cast("timestamp"))})
+        .withColumn("__end", F.col("__at") + F.coalesce("duration_s", F.lit(0)))
     )
-    ordered = Window.partitionBy(*DAY).orderBy("ts")
+    within = Window.partitionBy("pid", "day").orderBy("ts")
+    rows = rows.withColumn("__new", _starts(within, F.col("__at"), "__end", max_gap))
+    rows = rows.withColumn("__chain", F.sum("__new").over(within)).drop("__new")
+    chains = rows.groupBy("pid", "day", "__chain").agg(
+        F.min("ts").alias("begin"), F.min("__at").alias("__from"), F.max("__end").alias("__to")
+    )
+    along = Window.partitionBy("pid").orderBy("__from")
+    chains = chains.withColumn("__new", _starts(along, F.col("__from"), "__to", max_gap))
+    begun = F.last(F.when(F.col("__new") == 1, F.col("begin")), ignorenulls=True).over(along)
+    sessions = chains.withColumn("session_start", begun).select(
+        "pid", "day", "__chain", "session_start",
+        night_of(F.col("session_start"), last_night_end).alias("date"),
+    )
+    return rows.join(sessions, ["pid", "day", "__chain"]).drop("day", "__chain", "__at", "__end")
+
+
+def sleep_stage_episodes(
+    stages: DataFrame, last_night_end: int = NIGHT_END, max_gap: int = STAGE_GAP
+) -> DataFrame:
+    """Sleep stage records merged into episodes: consecutive records of one session, level and
+    sleep type.  ``date`` is the session's night."""
+    rows = sleep_sessions(stages, last_night_end, max_gap)
+    session = [*DAY, "session_start"]
+    ordered = Window.partitionBy(*session).orderBy("ts")
     changed = ~(
         F.col("level").eqNullSafe(F.lag("level").over(ordered))
         & F.col("type").eqNullSafe(F.lag("type").over(ordered))
@@ -515,13 +599,15 @@ def sleep_stage_episodes(stages: DataFrame) -> DataFrame:
     runs = rows.withColumn("__new", changed.cast("int")).withColumn(
         "run", F.sum("__new").over(ordered)
     )
-    return runs.groupBy(*DAY, "run", "level", "type").agg(
+    return runs.groupBy(*session, "run", "level", "type").agg(
         (F.sum("duration_s") / 60).alias("duration")
     )
 
 
-def sleep_stage_features(stages: DataFrame) -> DataFrame:
-    """Episode counts, durations and ratios per sleep level and type.
+def sleep_stage_features(
+    stages: DataFrame, last_night_end: int = NIGHT_END, max_gap: int = STAGE_GAP
+) -> DataFrame:
+    """Episode counts, durations and ratios per sleep level and type of each night (``date``).
 
     Rows: pid, date, level, type, where level and type also take the value ``all`` and level
     the unified ``awake``/``asleep`` (prefixed ``unified_``).  Ratios: ``..._across_levels``
@@ -529,7 +615,7 @@ def sleep_stage_features(stages: DataFrame) -> DataFrame:
     count and duration; ``..._within_levels`` and ``..._within_types`` compare main sleep
     with nap inside one level and one level with all levels inside one type.
     """
-    runs = sleep_stage_episodes(stages)
+    runs = sleep_stage_episodes(stages, last_night_end, max_gap)
     # Every episode counts for its own level, its unified level and all levels, and for its
     # type and all types: grouping by exploded labels keeps it to one aggregation.
     levels = F.array(
@@ -588,30 +674,32 @@ def daily_features(
     """The consumed features per participant, day and segment, ready for the calendar."""
     minutes = assign_segments(minute_grid(samples), segments)
     keys = ["pid", "date", "local_segment_label"]
-
-    def named(df: DataFrame, family: str, column: str) -> DataFrame:
-        return df.select(*keys, F.col(column).alias(f"{prefix}_{family}_rapids_{column}"))
-
-    wear = data_yield(minutes, keys, min_hour_ratio)
-    heart = minutes.groupBy(*keys).agg(F.avg("heartrate").alias("avghr"))
-    parts = [
-        named(wear, "data_yield", "ratiovalidyieldedhours"),
-        named(heart, "heartrate_intraday", "avghr"),
-        named(step_features(clean_steps(minutes), keys), "steps_intraday", "sumsteps"),
-    ]
-    if sleep is not None:
-        night = sleep_summary_features(sleep).withColumn("local_segment_label", F.lit("daily"))
-        parts.append(named(night, "sleep_summary", "sumdurationasleepall"))
-    start, length = F.lit(None).cast("int"), F.lit(None).cast("int")
-    for label, begins, lasts in segments:
-        here = F.col("local_segment_label") == label
-        start, length = F.when(here, begins).otherwise(start), F.when(here, lasts).otherwise(length)
-    opening = F.col("date").cast("timestamp_ntz") + F.make_dt_interval(mins=start)
-    closing = opening + F.make_dt_interval(mins=length, secs=F.lit(-1))
-    return (
-        merge_unique(parts, keys)
-        .withColumns(
-            {"local_segment_start_datetime": opening, "local_segment_end_datetime": closing}
-        )
-        .drop("date")
+    walked = F.when(F.col("steps") <= MAX_STEPS, F.col("steps"))
+    # All families in one pass: by hour, then over the hours.
+    hours = _by_hour(
+        minutes, [*keys, "segment_start"],
+        F.sum("heartrate").alias("hr"), F.count("heartrate").alias("n_hr"), F.sum(walked).alias("steps"))
+    _, yielded = _yields(min_hour_ratio)
+    families = {
+        "data_yield_rapids_ratiovalidyieldedhours": yielded,
+        "heartrate_intraday_rapids_avghr": F.try_divide(F.sum("hr"), F.sum("n_hr")),
+        "steps_intraday_rapids_sumsteps": F.sum("steps"),
+    }
+    wide = hours.groupBy(*keys, "segment_start", "whole").agg(
+        *[c.alias(f"{prefix}_{name}") for name, c in families.items()]
     )
+    if sleep is not None:
+        night = sleep_summary_features(sleep).select(
+            "pid", "date", F.lit("daily").alias("local_segment_label"),
+            F.col("sumdurationasleepall").alias(f"{prefix}_sleep_summary_rapids_sumdurationasleepall"))
+        wide = merge_unique([wide, night], keys)
+        # A night without samples has its segment's times too.
+        here = [F.when(F.col("local_segment_label") == label, F.struct(F.lit(begins), F.lit(lasts)))
+                for label, begins, lasts in segments]
+        wide = wide.withColumn("__span", F.coalesce(*here)).withColumns(
+            {"segment_start": F.col("__span.col1"), "whole": F.col("__span.col2")}).drop("__span")
+    opening = F.col("date").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("segment_start"))
+    closing = opening + F.make_dt_interval(mins=F.col("whole"), secs=F.lit(-1))
+    return wide.withColumns(
+        {"local_segment_start_datetime": opening, "local_segment_end_datetime": closing}
+    ).drop("date", "segment_start", "whole")

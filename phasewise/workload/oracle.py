@@ -353,7 +353,10 @@ fragment("demographics", "people", f"""
 fragment("sides", "", """
     SELECT *, CASE WHEN c_nationkey < 12 THEN 'low' ELSE 'high' END AS side,
            CASE WHEN c_acctbal < 0 THEN 'Yes' ELSE 'No' END AS overdrawn,
-           c_nationkey % 7 AS n_code FROM customer""")
+           c_nationkey % 7 AS n_code,
+           CASE WHEN c_acctbal < -970 THEN 'lowest' WHEN c_acctbal > 9960 THEN 'highest'
+                WHEN c_acctbal BETWEEN 0 AND 25 THEN 'nothing' ELSE 'other' END AS band
+    FROM customer""")
 
 # ---- questionnaires --------------------------------------------------------------------
 
@@ -426,10 +429,9 @@ fragment("episodes", "ev", """
            k % 5 AS minutes_after_wakeup, 60 + k * 5 AS minutes_in_bed
     FROM ev""")
 fragment("sleep", "episodes", """
-    SELECT *, CASE WHEN bed < 660 THEN CAST(start_ts AS DATE) - 1 ELSE CAST(start_ts AS DATE) END
-             AS date
-    FROM (SELECT *, hour(start_ts) * 60 + minute(start_ts) AS bed,
-                 hour(end_ts) * 60 + minute(end_ts) AS wake FROM episodes) x""")
+    SELECT *, date_diff('minute', CAST(date AS TIMESTAMP), start_ts) AS bed,
+           date_diff('minute', CAST(date AS TIMESTAMP), end_ts) AS wake
+    FROM (SELECT *, CAST(start_ts - INTERVAL 11 HOUR AS DATE) AS date FROM episodes) x""")
 fragment("device_days", "calendar grid sleep", """
     SELECT c.record_id, c.phase, c.date, 'p' || c.record_id AS pid, y.hours / 24.0 AS yield,
            h.avghr, s.sumsteps, z.asleep
@@ -704,16 +706,19 @@ oracle("rsh_calendar", "", """
     JOIN (SELECT CAST(range AS INTEGER) AS i FROM range(0, 5)) d ON d.i < n""")
 oracle("rsh_segments", "calendar grid", """
     SELECT c.record_id, c.phase, c.date,
+           m.hours / 6.0 AS fitbit_data_yield_rapids_ratiovalidyieldedhours_morning,
+           e.hours / 8.0 AS fitbit_data_yield_rapids_ratiovalidyieldedhours_evening,
            m.hr AS fitbit_heartrate_intraday_rapids_avghr_morning,
            m.st AS fitbit_steps_intraday_rapids_sumsteps_morning,
            e.hr AS fitbit_heartrate_intraday_rapids_avghr_evening,
            e.st AS fitbit_steps_intraday_rapids_sumsteps_evening
     FROM calendar c
-    LEFT JOIN (SELECT pid, date, avg(heartrate) AS hr,
-                      sum(steps) FILTER (WHERE steps <= 1000) AS st
+    LEFT JOIN (SELECT pid, date, count(DISTINCT minute // 60) FILTER (WHERE heartrate > 0) AS hours,
+                      avg(heartrate) AS hr, sum(steps) FILTER (WHERE steps <= 1000) AS st
                FROM grid WHERE minute >= 360 AND minute < 720 GROUP BY 1, 2) m
       ON m.pid = 'p' || c.record_id AND m.date = c.date
     LEFT JOIN (SELECT pid, date - CASE WHEN minute < 120 THEN 1 ELSE 0 END AS date,
+                      count(DISTINCT minute // 60) FILTER (WHERE heartrate > 0) AS hours,
                       avg(heartrate) AS hr, sum(steps) FILTER (WHERE steps <= 1000) AS st
                FROM grid WHERE minute >= 1080 OR minute < 120 GROUP BY 1, 2) e
       ON e.pid = 'p' || c.record_id AND e.date = c.date""")
@@ -1001,9 +1006,36 @@ oracle("st_fisher", "two_by_two", f"""
     FROM (SELECT *, {_HYPER} AS prob, {_HYPER.replace("v", "a")} AS seen
           FROM (SELECT *, unnest(range(greatest(0, r1 + c1 - n), least(r1, c1) + 1)) AS v
                 FROM two_by_two) y) x""")
-oracle("st_category", "sides", f"""
+# All tables with the margins of four levels, the one of the rest being what is left.
+fragment("bands", "sides", """
+    SELECT count(*) FILTER (WHERE band = 'lowest') AS r1, count(*) FILTER (WHERE band = 'highest') AS r2,
+           count(*) FILTER (WHERE band = 'nothing') AS r3, count(*) FILTER (WHERE band = 'other') AS r4,
+           count(*) FILTER (WHERE band = 'lowest' AND side = 'low') AS a1,
+           count(*) FILTER (WHERE band = 'highest' AND side = 'low') AS a2,
+           count(*) FILTER (WHERE band = 'nothing' AND side = 'low') AS a3,
+           count(*) FILTER (WHERE side = 'low') AS c1, count(*) AS n FROM sides""")
+_CHOOSE = "(lgamma({n} + 1) - lgamma({x} + 1) - lgamma({n} - {x} + 1))"
+
+
+def _ways(x: str) -> str:
+    parts = [_CHOOSE.format(n=f"r{i}", x=f"{x}{i}") for i in (1, 2, 3)]
+    parts.append(_CHOOSE.format(n="r4", x=f"(c1 - {x}1 - {x}2 - {x}3)"))
+    return f"exp({' + '.join(parts)} - {_CHOOSE.format(n='n', x='c1')})"
+
+
+fragment("band_test", "bands", f"""
+    SELECT any_value((least(r1, c1) + 1) * (least(r2, c1) + 1) * (least(r3, c1) + 1)) AS n_tables,
+           sum(prob) FILTER (WHERE prob <= seen * (1 + 1e-7)) AS p_value
+    FROM (SELECT *, {_ways("x")} AS prob, {_ways("a")} AS seen
+          FROM (SELECT *, unnest(range(0, r3 + 1)) AS x3 FROM
+                (SELECT *, unnest(range(0, r2 + 1)) AS x2 FROM
+                 (SELECT *, unnest(range(0, r1 + 1)) AS x1 FROM bands) p) q) r
+          WHERE x1 + x2 + x3 <= c1 AND c1 - x1 - x2 - x3 <= r4) s""")
+oracle("st_fisher_levels", "band_test", "SELECT 'band' AS variable, n_tables, p_value FROM band_test")
+oracle("st_category", "sides band_test", f"""
     SELECT variable, 'Pearson''s Chi-squared test' AS method, p AS p_value
-    FROM ({_CUSTOMER_CHI}) t WHERE min_expected >= 5""")
+    FROM ({_CUSTOMER_CHI}) t WHERE min_expected >= 5
+    UNION ALL SELECT 'band', 'Fisher''s exact test', p_value FROM band_test""")
 
 # ---- tables ----------------------------------------------------------------------------
 
@@ -1266,6 +1298,27 @@ oracle("dev_yield", "grid", """
            count(*) FILTER (WHERE valid >= 2) / 24.0 AS ratiovalidyieldedhours
     FROM (SELECT pid, date, minute // 60 AS h, count(*) FILTER (WHERE heartrate > 0) AS valid
           FROM grid GROUP BY 1, 2, 3) x GROUP BY 1, 2""")
+fragment("nights", "", """
+    SELECT *, unnest(range(0, (start + len - 1) // 1440 + 1)) AS back FROM
+      (VALUES ('night', 1320, 480), ('late', 1410, 90), ('weekend', 1080, 3000)) AS s(label, start, len)""")
+
+
+def _in_segments(source: str) -> str:
+    """Rows of a table of minutes in each turn of the segments, the minute counted on."""
+    return f"""SELECT t.* REPLACE (t.date - CAST(back AS INTEGER) AS date, minute + 1440 * back AS minute),
+             label AS local_segment_label, start, len
+      FROM {source} t JOIN turns ON minute + 1440 * back >= start AND minute + 1440 * back < start + len"""
+
+
+fragment("turns", "nights", """
+    SELECT * FROM nights UNION ALL SELECT 'dawn', 250, 100, 0""")
+oracle("dev_segment_yield", "grid turns", f"""
+    SELECT pid, date, local_segment_label, sum(valid) / CAST(any_value(len) AS DOUBLE) AS ratiovalidyieldedminutes,
+           count(*) FILTER (WHERE valid * 30 >= least(60, len - 60 * h)) / ceil(any_value(len) / 60.0)
+             AS ratiovalidyieldedhours
+    FROM (SELECT pid, date, local_segment_label, len, (minute - start) // 60 AS h,
+                 count(*) FILTER (WHERE heartrate > 0) AS valid
+          FROM ({_in_segments("grid")}) s GROUP BY ALL) x GROUP BY 1, 2, 3""")
 oracle("dev_segments", "grid", """
     SELECT pid, date, local_segment_label, count(*) AS n, sum(steps) AS steps FROM
       (SELECT pid, date, 'daily' AS local_segment_label, steps FROM grid
@@ -1326,7 +1379,7 @@ oracle("dev_steps_summary", "day_steps", """
                     THEN ln(CAST(sumsteps AS DOUBLE) / before) END AS g
           FROM (SELECT *, lag(sumsteps) OVER (PARTITION BY pid ORDER BY date) AS before
                 FROM day_steps) x) y GROUP BY 1""")
-fragment("bouts", "walked", """
+_BOUT_ROWS = """
     SELECT pid, date, state, min(minute) AS first, count(*) AS n,
            row_number() OVER (PARTITION BY pid, date, state ORDER BY count(*)) AS place,
            lead(state) OVER (PARTITION BY pid, date ORDER BY min(minute)) AS next
@@ -1334,7 +1387,19 @@ fragment("bouts", "walked", """
                     AS island
           FROM (SELECT *, CASE WHEN steps >= 10 THEN 'active' ELSE 'sedentary' END AS state
                 FROM walked) x) y
-    GROUP BY pid, date, state, island""")
+    GROUP BY pid, date, state, island"""
+fragment("bouts", "walked", _BOUT_ROWS)
+fragment("night_walked", "walked nights", _in_segments("walked").replace("turns", "nights"))
+
+
+def _by_segment(sql: str, **tables: str) -> str:
+    """A statement on participant days turned into one on segments, with other tables in place."""
+    for old, new in tables.items():
+        sql = sql.replace(f"FROM {old}", f"FROM {new}")
+    return sql.replace("pid, date", "pid, date, local_segment_label")
+
+
+fragment("night_bouts", "night_walked", _by_segment(_BOUT_ROWS, walked="night_walked"))
 
 
 def _bout_sql(state: str) -> str:
@@ -1346,7 +1411,7 @@ def _bout_sql(state: str) -> str:
         stddev_samp(n) {where} AS stdduration{name}"""
 
 
-oracle("dev_bouts", "bouts", f"""
+_BOUT_TABLE = f"""
     SELECT pid, date, {_bout_sql("sedentary")}, {_bout_sql("active")},
            count(*) FILTER (WHERE state = 'active' AND next = 'sedentary')
              / CAST(sum(n) FILTER (WHERE state = 'active') AS DOUBLE)
@@ -1361,7 +1426,9 @@ oracle("dev_bouts", "bouts", f"""
              / CAST(any_value(many) FILTER (WHERE state = 'active')
                     * sum(n) FILTER (WHERE state = 'active') AS DOUBLE) AS ginicoefficient
     FROM (SELECT *, count(*) OVER (PARTITION BY pid, date, state) AS many FROM bouts) x
-    GROUP BY 1, 2""")
+    GROUP BY pid, date"""
+oracle("dev_bouts", "bouts", _BOUT_TABLE)
+oracle("dev_segment_bouts", "night_bouts", _by_segment(_BOUT_TABLE, bouts="night_bouts"))
 
 
 def _best(k: int) -> str:
@@ -1409,18 +1476,27 @@ def _sleep_sql(kind: str) -> str:
 oracle("dev_sleep", "sleep", "SELECT pid, date, "
        + ", ".join(map(_sleep_sql, ("main", "nap", "all")))
        + " FROM sleep GROUP BY 1, 2")
-fragment("stage_runs", "ev", """
-    SELECT pid, date, level, type, run, sum(d) / 60.0 AS d FROM
-      (SELECT *, sum(new) OVER (PARTITION BY pid, date ORDER BY ts
+fragment("stage_records", "ev", """
+    SELECT 'p' || pId AS pid, ts, (k + 1) * 30 AS d,
+           CASE event_type WHEN 'click' THEN 'wake' WHEN 'view' THEN 'deep'
+             WHEN 'purchase' THEN 'light' WHEN 'signup' THEN 'rem' ELSE 'asleep' END AS level,
+           CASE k % 2 WHEN 0 THEN 'main' ELSE 'nap' END AS type FROM ev
+    QUALIFY row_number() OVER (PARTITION BY pId, ts ORDER BY d DESC, level DESC, type DESC) = 1""")
+fragment("stage_sessions", "stage_records", """
+    SELECT *, CAST(min(ts) OVER (PARTITION BY pid, session) - INTERVAL 11 HOUR AS DATE) AS date FROM
+      (SELECT *, count(*) FILTER (WHERE reach IS NULL OR ts > reach + INTERVAL 6 HOUR)
+                   OVER (PARTITION BY pid ORDER BY ts) AS session FROM
+        (SELECT *, max(ts + to_seconds(d)) OVER (PARTITION BY pid ORDER BY ts
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+         FROM stage_records) a) b""")
+fragment("stage_runs", "stage_sessions", """
+    SELECT pid, date, level, type, session, run, sum(d) / 60.0 AS d FROM
+      (SELECT *, sum(new) OVER (PARTITION BY pid, session ORDER BY ts
                                 ROWS UNBOUNDED PRECEDING) AS run FROM
         (SELECT *, CASE WHEN lag(level) OVER o = level AND lag(type) OVER o = type
-                   THEN 0 ELSE 1 END AS new FROM
-          (SELECT 'p' || pId AS pid, date, ts, (k + 1) * 30 AS d,
-                  CASE event_type WHEN 'click' THEN 'wake' WHEN 'view' THEN 'deep'
-                    WHEN 'purchase' THEN 'light' WHEN 'signup' THEN 'rem' ELSE 'asleep' END AS level,
-                  CASE k % 2 WHEN 0 THEN 'main' ELSE 'nap' END AS type FROM ev) a
-         WINDOW o AS (PARTITION BY pid, date ORDER BY ts)) b) c
-    GROUP BY 1, 2, 3, 4, 5""")
+                   THEN 0 ELSE 1 END AS new
+         FROM stage_sessions WINDOW o AS (PARTITION BY pid, session ORDER BY ts)) b) c
+    GROUP BY ALL""")
 fragment("stage_labels", "stage_runs", """
     SELECT pid, date, d, unnest([level, 'all', CASE level WHEN 'wake' THEN 'unified_awake'
              ELSE 'unified_asleep' END]) AS level, type FROM stage_runs""")
@@ -1443,13 +1519,13 @@ oracle("dev_sleep_stages", "stage_stats", """
     JOIN stage_stats t ON t.pid = a.pid AND t.date = a.date AND t.level = 'all' AND t.type = a.type
     JOIN stage_stats l ON l.pid = a.pid AND l.date = a.date AND l.level = a.level
       AND l.type = 'all'""")
-fragment("readings", "dense", """
+_READINGS = """
     SELECT pid, date, minute, mets, calories, 'a' AS g, activity_level AS e FROM dense
     UNION ALL SELECT pid, date, minute, mets, calories, 'b',
       CASE WHEN activity_level IN ('fairlyactive', 'veryactive') THEN 'mvpa' END FROM dense
     UNION ALL SELECT pid, date, minute, mets, calories, 'c',
-      CASE WHEN mets >= 3 THEN 'highmet' ELSE 'lowmet' END FROM dense""")
-fragment("spells", "readings", """
+      CASE WHEN mets >= 3 THEN 'highmet' ELSE 'lowmet' END FROM dense"""
+_SPELLS = """
     SELECT pid, date, e AS episode_type, min(minute) AS first, max(minute) AS last,
            max(minute) - min(minute) + 1 AS d, sum(mets) AS met, sum(calories) AS cal,
            avg(mets) AS m
@@ -1458,8 +1534,8 @@ fragment("spells", "readings", """
           FROM (SELECT *, CASE WHEN lag(e) OVER o IS NOT DISTINCT FROM e
                                 AND minute - lag(minute) OVER o <= 5 THEN 0 ELSE 1 END AS new
                 FROM readings WINDOW o AS (PARTITION BY pid, date, g ORDER BY minute)) x) y
-    WHERE e IS NOT NULL GROUP BY pid, date, g, e, run""")
-oracle("dev_calories", "spells", f"""
+    WHERE e IS NOT NULL GROUP BY pid, date, g, e, run"""
+_CALORIES = f"""
     SELECT pid, date, episode_type, count(*) AS count, sum(d) AS sumduration, avg(d) AS avgduration,
            min(d) AS minduration, max(d) AS maxduration, stddev_samp(d) AS stdduration,
            min(first) AS starttimefirst, min(last) AS endtimefirst, max(first) AS starttimelast,
@@ -1472,4 +1548,11 @@ oracle("dev_calories", "spells", f"""
            min(cal) AS mincalories, stddev_samp(cal) AS stdcalories
     FROM (SELECT *, row_number() OVER (PARTITION BY pid, date, episode_type
                                        ORDER BY d DESC, first) AS longest FROM spells) x
-    GROUP BY 1, 2, 3""")
+    GROUP BY pid, date, episode_type"""
+fragment("readings", "dense", _READINGS)
+fragment("spells", "readings", _SPELLS)
+oracle("dev_calories", "spells", _CALORIES)
+fragment("night_dense", "dense nights", _in_segments("dense").replace("turns", "nights"))
+fragment("night_readings", "night_dense", _by_segment(_READINGS, dense="night_dense"))
+fragment("night_spells", "night_readings", _by_segment(_SPELLS, readings="night_readings"))
+oracle("dev_segment_calories", "night_spells", _by_segment(_CALORIES, spells="night_spells"))

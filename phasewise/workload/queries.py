@@ -410,11 +410,12 @@ def rsh_calendar(t: Tables) -> DataFrame:
 
 @query("record_id date", "phase", spread(
     "fitbit_{f}_{s}", s="morning evening",
-    f="heartrate_intraday_rapids_avghr steps_intraday_rapids_sumsteps"))
+    f="data_yield_rapids_ratiovalidyieldedhours heartrate_intraday_rapids_avghr "
+      "steps_intraday_rapids_sumsteps"))
 def rsh_segments(t: Tables) -> DataFrame:
     """Features of two time segments side by side on the calendar."""
     segments = [("morning", 360, 360), ("evening", 1080, 480)]
-    features = sensors.daily_features(t.minutes(), segments=segments)
+    features = sensors.daily_features(t.minutes(), segments=segments, min_hour_ratio=1 / 60)
     names = [c for c in features.columns if c.startswith("fitbit")]
     return devices.calendar_device_features(
         study.study_calendar(t.phases()), features, names, segments=["morning", "evening"]
@@ -927,6 +928,11 @@ def _customers(t: Tables) -> DataFrame:
             "side": side,
             "overdrawn": F.when(F.col("c_acctbal") < 0, "Yes").otherwise("No"),
             "n_code": F.col("c_nationkey") % 7,
+            # Three rare levels of four.
+            "band": F.when(F.col("c_acctbal") < -970, "lowest")
+            .when(F.col("c_acctbal") > 9960, "highest")
+            .when(F.col("c_acctbal").between(0, 25), "nothing")
+            .otherwise("other"),
         }
     )
 
@@ -948,11 +954,17 @@ def st_fisher(t: Tables) -> DataFrame:
     return inference.fisher_tests(counts, "low")
 
 
+@query("variable", "n_tables", "p_value")
+def st_fisher_levels(t: Tables) -> DataFrame:
+    """Exact test of four levels, of which three are rare."""
+    return inference.fisher_tests(inference.cross_counts(_customers(t), ["band"], "side"), "low")
+
+
 @query("variable method", "", "p_value")
 def st_category(t: Tables) -> DataFrame:
     """Chi-square or exact test, by the smallest expected count."""
     return inference.category_tests(
-        _customers(t), ["c_mktsegment", "overdrawn"], "side", "low"
+        _customers(t), ["c_mktsegment", "overdrawn", "band"], "side", "low"
     )
 
 
@@ -1092,6 +1104,30 @@ def dev_bouts(t: Tables) -> DataFrame:
     return sensors.bout_features(_dense(t))
 
 
+NIGHTS = [("night", 1320, 480), ("late", 1410, 90), ("weekend", 1080, 3000)]
+
+
+def _segmented(t: Tables) -> DataFrame:
+    """Minutes of segments that end past midnight, one of them two days later."""
+    return sensors.assign_segments(_dense(t), NIGHTS)
+
+
+@query("pid date local_segment_label", "", "ratiovalidyieldedminutes ratiovalidyieldedhours")
+def dev_segment_yield(t: Tables) -> DataFrame:
+    """Yield over each segment's own hours, the last of which may be short."""
+    segments = [*NIGHTS, ("dawn", 250, 100)]
+    minutes = sensors.assign_segments(sensors.minute_grid(t.minutes()), segments)
+    return sensors.data_yield(minutes, [*sensors.DAY, "local_segment_label"], min_ratio=2 / 60)
+
+
+@query("pid date local_segment_label", "", BOUTS + " activetosedentarytransitionprobability "
+       "sumdurationactivitylessthan5minutes sumdurationactivity5to10minutes "
+       "sumdurationactivitygreaterthan10minutes ginicoefficient")
+def dev_segment_bouts(t: Tables) -> DataFrame:
+    """Bouts that go on over midnight within their segment."""
+    return sensors.bout_features(_segmented(t), [*sensors.DAY, "local_segment_label"])
+
+
 @query("pid date", "totalminutes0cadence totalminutes1to19cadence totalminutes20to39cadence "
        "totalminutesabove0cadence totalminutes120pluscadence totalminutesabove100cadence",
        "meancadence uncensoredmeancadence peak1minutecadence peak30minutecadence "
@@ -1124,12 +1160,24 @@ def dev_sleep(t: Tables) -> DataFrame:
        + spread("ratio{m}_{w}", m="count duration",
                 w="across_all within_types within_levels across_levels across_types"))
 def dev_sleep_stages(t: Tables) -> DataFrame:
-    return sensors.sleep_stage_features(t.sleep_stages())
+    """Stage records up to six hours apart make a session here, since events are far between."""
+    return sensors.sleep_stage_features(t.sleep_stages(), max_gap=6 * 3600)
+
+
+CALORIES = (
+    spread("{s}duration", s="sum avg min max std")
+    + " starttimefirst endtimefirst starttimelast endtimelast starttimelongest endtimelongest "
+    + spread("{s}{m}", s="sum avg max min std", m="met calories")
+)
+
+
+@query("pid date local_segment_label episode_type", "count", CALORIES)
+def dev_segment_calories(t: Tables) -> DataFrame:
+    """Episodes of activity that go on over midnight within their segment."""
+    minutes = sensors.assign_segments(sensors.minute_grid(t.dense_minutes()), NIGHTS)
+    return sensors.calorie_episode_features(minutes, [*sensors.DAY, "local_segment_label"])
 
 
-@query("pid date episode_type", "count",
-       spread("{s}duration", s="sum avg min max std")
-       + " starttimefirst endtimefirst starttimelast endtimelast starttimelongest endtimelongest "
-       + spread("{s}{m}", s="sum avg max min std", m="met calories"))
+@query("pid date episode_type", "count", CALORIES)
 def dev_calories(t: Tables) -> DataFrame:
     return sensors.calorie_episode_features(sensors.minute_grid(t.dense_minutes()))

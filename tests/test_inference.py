@@ -4,10 +4,14 @@ import itertools
 import math
 import random
 import statistics as st
+from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 from comparing import rows
+from pyspark.sql import functions as F
 
+from phasewise.functions import distributions as dist
 from phasewise.functions import text
 from phasewise.plans import inference, tables
 
@@ -161,14 +165,89 @@ def test_fisher_by_enumeration(spark, seed):
     assert both.method == "Fisher's exact test" and both.p_value == pytest.approx(p)
 
 
-def test_fisher_beyond_its_bound_falls_back(spark):
-    cells = {(lv, g): 9 for lv in "abcd" for g in "xy"} | {("e", "x"): 1}
-    df, counts = table(spark, cells)
-    r = inference.fisher_tests(counts, "x", max_tables=10).first()
-    assert r.p_value is None
-    r = inference.category_tests(df, ["v"], "g", "x", max_tables=10).first()
-    chi = inference.chi_square_tests(counts).first()
-    assert r.method.endswith("small expected counts") and r.p_value == pytest.approx(chi.p_value)
+def hypergeometric_p(a, r1, c1, n):
+    """Two-sided p of a 2x2 table in whole numbers."""
+    every = range(max(0, r1 + c1 - n), min(r1, c1) + 1)
+    weight = {x: math.comb(r1, x) * math.comb(n - r1, c1 - x) for x in every}
+    return float(Fraction(sum(w for w in weight.values() if w <= weight[a]), math.comb(n, c1)))
+
+
+def margins(spark, tables):
+    """Counts of tables given as {variable: [(first, second), ...]} by level."""
+    data = [(v, f"l{i}", g, n) for v, cells in tables.items() for i, c in enumerate(cells) for g, n in zip("xy", c) if n]
+    return spark.createDataFrame(data, "variable string, level string, by string, n long")
+
+
+def test_fisher_of_two_levels_of_any_size(spark):
+    cells = {
+        "small": [(3, 1), (1, 3)], "even": [(5, 5), (5, 5)], "none": [(0, 7), (9, 2)], "all": [(4, 0), (0, 6)],
+        "one": [(4, 6)], "group": [(4, 0), (9, 0)], "hundreds": [(130, 200), (170, 150)], "lopsided": [(2, 1), (40, 3000)],
+        "mode": [(1000, 1000), (999, 1001)], "thousands": [(1040, 960), (980, 1020)],
+    }
+    got = {r.variable: r.p_value for r in inference.fisher_tests(margins(spark, cells), "x").collect()}
+    for name, rows_ in cells.items():
+        (a, b), (c, d) = rows_ if len(rows_) == 2 else (*rows_, (0, 0))
+        expected = hypergeometric_p(a, a + b, a + c, a + b + c + d)
+        assert got[name] == pytest.approx(expected, rel=1e-9), name
+
+
+def test_fisher_of_ten_million_rows(spark):
+    """Large tables approach chi-square, with the continuity correction that the exact steps call for."""
+    cells = {"v": [(2_502_000, 2_498_000), (2_498_500, 2_501_500)]}
+    p = inference.fisher_tests(margins(spark, cells), "x").first().p_value
+    (a, b), (c, d) = cells["v"]
+    n, r1, c1 = a + b + c + d, a + b, a + c
+    mean, sd = r1 * c1 / n, math.sqrt(r1 * c1 / n * (n - r1) * (n - c1) / n / (n - 1))
+    assert p == pytest.approx(math.erfc((abs(a - mean) - 0.5) / sd / math.sqrt(2)), rel=1e-5)
+
+
+def freeman_halton(cells):
+    totals, seen = [a + b for a, b in cells], [a for a, _ in cells]
+    ways = {(sum(seen), 1): 1}  # (left, product so far): number of ways
+    for r in totals:
+        nxt = defaultdict(int)
+        for (left, w), n in ways.items():
+            for x in range(min(r, left) + 1):
+                nxt[left - x, w * math.comb(r, x)] += n
+        ways = nxt
+    mark = math.prod(math.comb(r, x) for r, x in zip(totals, seen))
+    good = sum(w * n for (left, w), n in ways.items() if left == 0 and w <= mark)
+    return float(Fraction(good, math.comb(sum(totals), sum(seen))))
+
+
+def test_fisher_of_many_levels(spark):
+    rng = random.Random(7)
+    cells = {f"v{k}": [(rng.randint(0, 5), rng.randint(0, 9)) for _ in range(k)] for k in (3, 4, 5, 6)}
+    cells |= {"equal": [(i % 3, 2 - i % 3) for i in range(9)], "far": [(6, 0), (0, 9), (5, 1)], "rare": [(1, 2), (3, 400), (2, 900)],
+              "two": [(2, 5), (3, 1)]}
+    cells = {k: [c for c in v if sum(c)] for k, v in cells.items()}
+    got = {r.variable: r.p_value for r in inference.fisher_tests(margins(spark, cells), "x").collect()}
+    assert got == {k: pytest.approx(freeman_halton(v), rel=1e-8) for k, v in cells.items()}
+
+
+def test_sparse_variables_of_any_size_get_the_exact_test(spark):
+    """More tables than could ever be listed: 3 levels of a million rows, one rare."""
+    cells = {"v": [(3, 1), (400_000, 600_000), (399_000, 601_000)]}
+    data = margins(spark, cells)
+    p = inference.fisher_tests(data, "x", only_below=5).first().p_value
+    chi = inference.chi_square_tests(data).first()
+    assert chi.min_expected < 5 and 0.2 < p / chi.p_value < 3
+    assert inference.fisher_tests(margins(spark, {"v": [(30, 30), (40, 20), (25, 45)]}), "x", only_below=5).collect() == []
+
+
+@pytest.mark.parametrize("df", [999_999.0, 1_000_001.0, 1e9])
+def test_tails_of_many_degrees_of_freedom(spark, df):
+    """Against the first terms of the expansion around the normal and chi-square tails."""
+    t, n, f = 2.1, 3.0, 1.7
+    r = spark.range(1).select(
+        dist.t_two_sided(F.lit(t), F.lit(df)).alias("t"), dist.f_sf(F.lit(f), F.lit(n), F.lit(df)).alias("f"),
+        dist.chi2_sf(F.lit(n * f), F.lit(n)).alias("c")).first()
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    normal = math.erfc(t / math.sqrt(2))
+    assert r.t == pytest.approx(normal + (t**3 + t) / 2 / df * density, rel=1e-9)
+    x = n * f
+    step = x ** (n / 2) * math.exp(-x / 2) / (2 ** (n / 2) * math.gamma(n / 2)) * (x - n + 2) / (2 * df)
+    assert r.f == pytest.approx(r.c + step, rel=1e-9)
 
 
 def test_summary_table_rows(spark):
