@@ -71,6 +71,15 @@ def stirling_rest(n: Column) -> Column:
     return bind({"n": n, "s": n * n}, body)
 
 
+def _stirling_rest_of_whole(n: Column) -> Column:
+    """The same for whole numbers, those below STIRLING_FROM looked up."""
+    small = [math.lgamma(i + 1) - 0.5 * math.log(2 * math.pi * i) - i * math.log(i) + i for i in range(1, STIRLING_FROM)]
+    known = F.expr(f"array({', '.join(f'{x!r}D' for x in [0.0, *small, 0.0])})")
+    near = F.get(known, F.least(n, F.lit(float(STIRLING_FROM))).cast("int"))
+    series = bind({"s": n * n}, lambda v: (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / v["s"]) / v["s"]) / v["s"]) / n)
+    return F.when(n < STIRLING_FROM, near).otherwise(series)
+
+
 def deviance(x: Column, mean: Column) -> Column:
     """x log(x / mean) + mean - x without cancellation of large terms."""
     return bind(
@@ -80,6 +89,7 @@ def deviance(x: Column, mean: Column) -> Column:
 
 def log_binomial(x: Column, n: Column, p: Column, q: Column) -> Column:
     """Log probability of x of n successes at chance p = 1 - q, as saddle point and corrections.
+    x and n are whole numbers.
 
     Differences of log factorials lose as many digits as n has; this loses none.
     """
@@ -87,7 +97,7 @@ def log_binomial(x: Column, n: Column, p: Column, q: Column) -> Column:
     def body(v) -> Column:
         x, n, y, p, q = (v[k] for k in ("x", "n", "y", "p", "q"))
         inside = (
-            stirling_rest(n) - stirling_rest(x) - stirling_rest(y)
+            _stirling_rest_of_whole(n) - _stirling_rest_of_whole(x) - _stirling_rest_of_whole(y)
             - deviance(x, n * p) - deviance(y, n * q)
             + 0.5 * F.log(n / (2 * math.pi * x * y))
         )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+BUCKETS = 10_000  # distinct values of a range
+GRID = 4096  # ranges of a variable at most
 
 
 def value_counts(df: DataFrame, variable: str, value: str, group: str | None = None) -> DataFrame:
@@ -16,58 +17,70 @@ def value_counts(df: DataFrame, variable: str, value: str, group: str | None = N
     )
 
 
-def _boundaries(counts: DataFrame, variable: str, value: str, buckets: int) -> dict[str, list]:
-    """Approximate quantiles of the distinct values of each variable.
-
-    At most ``buckets`` numbers per variable reach the driver - the same kind of sample a
-    distributed sort takes.  As literals they stay fixed when a lost task is run again.
-    """
-    probs = [i / buckets for i in range(1, buckets)]
-    rows = (
-        counts.groupBy(variable)
-        .agg(F.percentile_approx(value, probs, 10_000).alias("b"))
-        .collect()
-    )
-    return {r[variable]: sorted(set(r["b"])) for r in rows}
-
-
 def mid_ranks(
-    counts: DataFrame, variable: str = "variable", value: str = "value", buckets: int = BUCKETS
+    counts: DataFrame,
+    variable: str = "variable",
+    value: str = "value",
+    buckets: int = BUCKETS,
+    with_before: bool = False,
 ) -> DataFrame:
     """Add ``rank`` to (variable, value, n): the mean rank of the n tied rows.
 
-    A running sum over all values would be one window in one task.  Distinct values are cut
-    into ranges at approximate quantiles; each range is summed by itself and shifted by the
-    rows in the ranges before it.  Where the cuts fall does not change the result.
+    A running sum over all values would be one window in one task.  The distinct values of each
+    variable are cut into ranges at their approximate quantiles, one for every ``buckets``
+    values; each range is summed by itself and shifted by the rows in the ranges before it.
+    Bounds and shifts are part of the plan, and where the cuts fall does not change the result.
+    ``with_before`` adds ``before``, the rows of smaller values.
     """
-    cuts = _boundaries(counts, variable, value, buckets)
-    if cuts:
-        table = F.create_map(
-            *[x for k, b in cuts.items() for x in (F.lit(k), F.array(*map(F.lit, b)))]
-        )
-        bounds = F.try_element_at(table, F.col(variable))
-        bucket = F.coalesce(
-            F.size(F.filter(bounds, lambda b: b < F.col(value))), F.lit(0)
-        )
-    else:
-        bucket = F.lit(0)
-    cut = counts.withColumn("__bucket", bucket)
+    # Quantiles of the distinct values, sorted: one small row per variable.  The percentages
+    # depend on the number of values, so a digest of fixed size is asked for at even steps and the
+    # steps are then thinned to the number of ranges wanted.
+    grid = [i / GRID for i in range(1, GRID)]
+    bounds = counts.groupBy(variable).agg(
+        F.percentile_approx(value, grid, 10 * GRID).alias("__grid"), F.count("*").alias("__values")
+    )
+    ranges = F.least(F.greatest(F.ceil(F.col("__values") / buckets), F.lit(1)), F.lit(GRID)).cast("int")
+    every = F.greatest(F.floor(F.lit(GRID) / ranges), F.lit(1)).cast("int")
+    thinned = F.filter("__grid", lambda _, i: (i + 1) % F.col("__every") == 0)
+    bounds = bounds.withColumn("__every", every).select(
+        F.col(variable).alias("__variable"), F.array_sort(F.array_distinct(thinned)).alias("__bounds")
+    )
+    own = F.col(variable).eqNullSafe(F.col("__variable"))
+    placed = counts.join(bounds, own).withColumn("__bucket", _place(F.col(value))).drop("__variable", "__bounds")
     # One row per variable and range: a bounded window.
     before = Window.partitionBy(variable).orderBy("__bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        cut.groupBy(variable, "__bucket")
+        placed.groupBy(variable, "__bucket")
         .agg(F.sum("n").alias("__rows"))
         .withColumn("__before", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-        .drop("__rows")
+        .select(F.col(variable).alias("__variable"), F.col("__bucket").alias("__range"), "__before")
     )
     inside = Window.partitionBy(variable, "__bucket").orderBy(value).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    return (
-        cut.join(offsets, [variable, "__bucket"])
-        .withColumn("__upto", F.col("__before") + F.sum("n").over(inside))
-        .withColumn("rank", F.col("__upto") - (F.col("n") - 1) / 2)
-        .drop("__bucket", "__before", "__upto")
+    same = F.col(variable).eqNullSafe(F.col("__variable")) & (F.col("__bucket") == F.col("__range"))
+    ranked = (
+        placed.join(offsets, same)
+        .withColumn("before", F.col("__before") + F.sum("n").over(inside) - F.col("n"))
+        .withColumn("rank", F.col("before") + (F.col("n") + 1) / 2)
+        .drop("__bucket", "__before", "__variable", "__range")
     )
+    return ranked if with_before else ranked.drop("before")
+
+
+def _place(value: Column) -> Column:
+    """How many of the sorted bounds lie below the value, by halving."""
+    start = F.struct(F.lit(0).alias("low"), F.size("__bounds").alias("high"))
+
+    def halve(s: Column, _) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        lower = (s["low"] < s["high"]) & (F.get("__bounds", middle) < value)
+        return F.struct(
+            F.when(lower, middle + 1).otherwise(s["low"]).alias("low"),
+            F.when(lower, s["high"]).otherwise(F.least(middle, s["high"])).alias("high"),
+        )
+
+    steps = F.sequence(F.lit(1), F.lit(GRID.bit_length() + 1))
+    return F.aggregate(steps, start, halve, lambda s: s["low"])

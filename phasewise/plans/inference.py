@@ -439,12 +439,78 @@ def anova_with_comparisons(
 # ---- cohort comparison -----------------------------------------------------------------
 
 
+def _exact_rank_sum() -> Column:
+    """Chance of a rank sum at least as far from its mean, over all ways to choose the first group.
+
+    Counted on whole numbers, twice the mid-ranks: ``ways`` holds, for every number of rows
+    chosen so far and every sum, how often it comes about; each distinct value adds the choices among its ties.
+    The smaller group is counted, whose sum is as far from its mean as the other's.
+    """
+    cells = F.transform(
+        "cells", lambda c: F.struct(c["n"].alias("n"), (2 * c["rank"]).cast("long").alias("r"), c["k"].alias("k"))
+    )
+    rows = F.aggregate(cells, F.lit(0).cast("long"), lambda acc, c: acc + c["n"])
+    chosen = F.aggregate(cells, F.lit(0).cast("long"), lambda acc, c: acc + c["k"])
+
+    def counted(v) -> Column:
+        few = F.least(v["chosen"], v["rows"] - v["chosen"])
+        mine = lambda c: F.when(v["chosen"] <= few, c["k"]).otherwise(c["n"] - c["k"])
+        seen = F.aggregate(v["cells"], F.lit(0).cast("long"), lambda acc, c: acc + mine(c) * c["r"])
+        # No sum is larger than that of the last ranks, at most twice the rows each.
+        return bind(v | {"few": few, "seen": seen, "width": 2 * v["rows"] * few + 1}, spread)
+
+    def spread(v) -> Column:
+        width, few = v["width"], v["few"]
+        size = (few + 1) * width
+        start = F.transform(F.sequence(F.lit(0).cast("long"), size - 1), lambda i: F.when(i == 0, 1.0).otherwise(0.0))
+
+        def add(ways: Column, c: Column) -> Column:
+            """Every place gets the ways to come there with t of the n ties, t = 0, 1, ..."""
+            ties = F.aggregate(
+                F.sequence(F.lit(1).cast("long"), c["n"]), F.array(F.lit(1.0)),
+                lambda acc, t: F.concat(acc, F.array(F.element_at(acc, -1) * (c["n"] - t + 1) / t)))
+
+            def place(u, i: Column) -> Column:
+                most = F.least(c["n"], F.floor(i / width))
+                return F.aggregate(
+                    F.sequence(F.lit(0).cast("long"), most), F.lit(0.0),
+                    lambda acc, t: acc + u["ties"][t.cast("int")]
+                    * F.when(i - t * (width + c["r"]) >= 0, u["ways"][F.greatest(i - t * (width + c["r"]), F.lit(0)).cast("int")])
+                    .otherwise(0.0))
+
+            return bind(
+                {"ways": ways, "ties": ties},
+                lambda u: F.transform(F.sequence(F.lit(0).cast("long"), size - 1), lambda i: place(u, i)),
+            )
+
+        last = F.slice(F.aggregate(v["cells"], start, add), (few * width + 1).cast("int"), width.cast("int"))
+        # Twice the mean of the doubled sum is a whole number.
+        centre = 2 * few * (v["rows"] + 1)
+        far = F.abs(2 * v["seen"] - centre)
+        return bind(
+            {"last": last},
+            lambda u: F.aggregate(
+                F.transform(u["last"], lambda w, i: F.when(F.abs(2 * i - centre) >= far, w).otherwise(0.0)),
+                F.lit(0.0), lambda acc, w: acc + w)
+            / F.aggregate(u["last"], F.lit(0.0), lambda acc, w: acc + w))
+
+    return bind({"cells": cells, "rows": rows, "chosen": chosen}, counted)
+
+
 def rank_sum_tests(
-    df: DataFrame, variables: Sequence[str], group: str, first: str, second: str
+    df: DataFrame,
+    variables: Sequence[str],
+    group: str,
+    first: str,
+    second: str,
+    exact: bool = False,
 ) -> DataFrame:
-    """Two-sample rank-sum test per variable: W of the first group, normal approximation.
+    """Two-sample rank-sum test per variable: W of the first group.
 
-    With tie and continuity correction.  Rows: variable, n1, n2, statistic, p_value, method.
+    The p-value is the normal approximation with tie and continuity correction, or with ``exact``
+    the chance, over all ways to choose the first group's rows, of a W at least as far from its
+    mean, ties included.  That is meant for small samples: one row of the result takes steps in
+    proportion to the rows cubed and the smaller group squared.  Rows: variable, n1, n2, statistic, p_value, method.
     """
     long = unpivot_long(df.select(group, *variables), [group], variables, dtype="double")
     long = long.filter(F.col(group).isin(first, second))
@@ -461,6 +527,7 @@ def rank_sum_tests(
         F.sum("n_first").cast("double").alias("n1"),
         F.sum("n").cast("double").alias("__all"),
         F.sum(n * n * n - n).alias("__ties"),
+        *([F.collect_list(F.struct("n", "rank", F.col("n_first").alias("k"))).alias("cells")] if exact else []),
     )
     n1, total = F.col("n1"), F.col("__all")
     n2 = total - n1
@@ -470,16 +537,18 @@ def rank_sum_tests(
         n1 * n2 / 12 * ((total + 1) - F.try_divide(F.col("__ties"), total * (total - 1)))
     )
     z = F.try_divide(shift - F.signum(shift) * 0.5, spread)
+    p = _exact_rank_sum() if exact else dist.normal_two_sided(F.col("__z"))
+    kind = "exact" if exact else "normal approximation"
     return (
         sums.withColumns({"n2": n2, "statistic": w, "__z": z})
-        .withColumn("p_value", dist.normal_two_sided(F.col("__z")))
+        .withColumn("p_value", p)
         .select(
             "variable",
             F.col("n1").cast("long").alias("n1"),
             F.col("n2").cast("long").alias("n2"),
             "statistic",
             "p_value",
-            F.lit("Wilcoxon rank sum test, normal approximation").alias("method"),
+            F.lit(f"Wilcoxon rank sum test, {kind}").alias("method"),
         )
     )
 
@@ -553,28 +622,34 @@ def _likeliest(left: Column, rest: Column, others: Column) -> Column:
     return F.coalesce(ends.cast("double"), inside)
 
 
-def _tail(x: Column, last: Column, toward: int, v: dict[str, Column]) -> Column:
-    """Sum of the weights of x, x - toward, ... up to `last`, away from the mode, over that of x.
+def _tail(x: Column, v: dict[str, Column]) -> Column:
+    """Sum of the weights from x to `end`, away from the mode, over that of x.
 
     Neighbouring weights of two levels of a and b rows differ by a ratio of whole numbers, which
-    falls away from the mode: after some multiple of the deviation the rest is below the last bit."""
-    a, b, left = v["a"], v["b"], v["left"]
+    falls away from the mode: after some multiple of the deviation the rest is below the last bit.
+    ``down`` is 1 where `end` lies below the mode, else -1."""
+    a, b, left, down = v["a"], v["b"], v["left"], v["down"]
     share = left / (a + b)
     spread = F.sqrt(share * (1 - share) * a * b / (a + b))
-    steps = F.least(F.abs(x - last), F.ceil(12 * spread + 60).cast("double"))
+    steps = F.least(F.abs(x - v["end"]), F.ceil(12 * spread + 60).cast("double"))
 
-    def ratio(y: Column) -> Column:
-        if toward > 0:  # from y down to y - 1
-            return y * (b - left + y) / ((a - y + 1) * (left - y + 1))
-        return (a - y) * (left - y) / ((y + 1) * (b - left + y + 1))
+    def step(s: Column, i: Column) -> Column:
+        # The weight below y over that of y, where y is the upper one of the two neighbours.
+        y = x - down * (i - 1) + F.when(down > 0, 0.0).otherwise(1.0)
 
-    def add(s: Column, i: Column) -> Column:
-        term = s["term"] * ratio(x - toward * (i - 1))
-        return F.struct(term.alias("term"), (s["sum"] + term).alias("sum"))
+        def taken(u) -> Column:
+            below = u["y"] * (b - left + u["y"]) / ((a - u["y"] + 1) * (left - u["y"] + 1))
+            ratio = F.when(down > 0, below).otherwise(F.try_divide(F.lit(1.0), below))
+            return F.struct((u["term"] * ratio).alias("term"), (u["sum"] + u["term"]).alias("sum"))
 
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
-    walk = F.transform(F.sequence(F.lit(1), F.greatest(steps, F.lit(1.0)).cast("long")), lambda i: i.cast("double"))
-    return F.when(steps < 1, 1.0).otherwise(F.aggregate(walk, start, add, lambda s: s["sum"]))
+        return bind({"y": y, "term": s["term"], "sum": s["sum"]}, taken)
+
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
+    walk = F.transform(
+        F.sequence(F.lit(1), F.greatest(steps, F.lit(1.0)).cast("long")), lambda i: i.cast("double")
+    )
+    total = F.aggregate(walk, start, step, lambda s: s["sum"] + s["term"])
+    return F.when(steps < 1, 1.0).otherwise(total)
 
 
 def _last_two(left: Column, a: Column, b: Column, limit: Column) -> Column:
@@ -582,38 +657,39 @@ def _last_two(left: Column, a: Column, b: Column, limit: Column) -> Column:
     log weight is at most `limit`: both tails of one hypergeometric row, found by bisection."""
     given = {"a": a.cast("double"), "b": b.cast("double"), "left": left.cast("double"), "limit": limit}
 
-    def ends(v) -> dict[str, Column]:
-        mode = F.floor((v["left"] + 1) * (v["a"] + 1) / (v["a"] + v["b"] + 2)).cast("double")
-        low, high = F.greatest(v["left"] - v["b"], F.lit(0.0)), F.least(v["a"], v["left"])
-        return v | {"low": low, "high": high, "mode": F.greatest(F.least(mode, high), low)}
-
     def weight(x: Column, v) -> Column:
-        return _tilted(x, v["a"]) + _tilted(v["left"] - x, v["b"])
+        levels = F.array(*[F.struct(x_.alias("x"), n.alias("n")) for x_, n in ((x, v["a"]), (v["left"] - x, v["b"]))])
+        return F.aggregate(levels, F.lit(0.0), lambda acc, s: acc + _tilted(s["x"], s["n"]))
 
-    def edge(v, end: str) -> Column:
+    def edge(v) -> Column:
         """The place nearest to the mode, from `end`, whose weight is within the limit."""
         def halve(s: Column, _) -> Column:
-            middle = F.floor((s["good"] + s["bad"]) / 2) if end == "low" else F.ceil((s["good"] + s["bad"]) / 2)
-            middle = middle.cast("double")
-            good = weight(middle, v) <= v["limit"]
-            return F.struct(F.when(good, middle).otherwise(s["good"]).alias("good"),
-                            F.when(good, s["bad"]).otherwise(middle).alias("bad"))
+            half = (s["good"] + s["bad"]) / 2
+            middle = F.when(v["down"] > 0, F.floor(half)).otherwise(F.ceil(half)).cast("double")
+            return bind({"m": middle, "g": s["good"], "b": s["bad"], "ok": weight(middle, v) <= v["limit"]},
+                        lambda u: F.struct(F.when(u["ok"], u["m"]).otherwise(u["g"]).alias("good"),
+                                           F.when(u["ok"], u["b"]).otherwise(u["m"]).alias("bad")))
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(54)), F.struct(v[end].alias("good"), v["mode"].alias("bad")),
+        return F.aggregate(F.sequence(F.lit(1), F.lit(54)), F.struct(v["end"].alias("good"), v["mode"].alias("bad")),
                            halve, lambda s: s["good"])
 
-    def mass(v, end: str) -> Column:
-        def sum_from(u) -> Column:
-            total = F.exp(weight(u["x"], v)) * _tail(u["x"], v[end], 1 if end == "low" else -1, v)
-            return F.when(weight(v[end], v) <= v["limit"], total).otherwise(0.0)
-
-        return bind({"x": edge(v, end)}, sum_from)
+    def mass(v) -> Column:
+        inside = bind({"x": edge(v)}, lambda u: F.exp(weight(u["x"], v)) * _tail(u["x"], v))
+        return F.when(weight(v["end"], v) <= v["limit"], inside).otherwise(0.0)
 
     def both(v) -> Column:
         every = F.exp(dist.log_binomial(v["left"], v["a"] + v["b"], F.col("share"), F.col("other")))
-        return F.when(weight(v["mode"], v) <= v["limit"], every).otherwise(mass(v, "low") + mass(v, "high"))
+        sides = F.array(*[F.struct(v[end].alias("end"), F.lit(down).alias("down"))
+                          for end, down in (("low", 1.0), ("high", -1.0))])
+        tails = F.aggregate(sides, F.lit(0.0), lambda acc, s: acc + mass(v | {"end": s["end"], "down": s["down"]}))
+        return F.when(weight(v["mode"], v) <= v["limit"], every).otherwise(tails)
+
+    def ends(v) -> Column:
+        mode = F.floor((v["left"] + 1) * (v["a"] + 1) / (v["a"] + v["b"] + 2)).cast("double")
+        low, high = F.greatest(v["left"] - v["b"], F.lit(0.0)), F.least(v["a"], v["left"])
+        return bind(v | {"low": low, "high": high, "mode": F.greatest(F.least(mode, high), low)}, both)
 
-    return bind(given, lambda v: bind(ends(v), both))
+    return bind(given, ends)
 
 
 def fisher_tests(

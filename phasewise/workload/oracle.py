@@ -991,6 +991,30 @@ _CUSTOMER_CHI = " UNION ALL ".join(
 oracle("st_ranksum", "sides", f"""
     SELECT variable, 'Wilcoxon rank sum test, normal approximation' AS method, n1, n2,
            w AS statistic, p AS p_value FROM ({_CUSTOMER_RANKS}) t""")
+fragment("exact_groups", "", """
+    SELECT c_custkey % 29 AS place, floor(sum(c_acctbal) / 10000) AS thousands,
+           count(*) FILTER (WHERE c_acctbal < 0) AS overdrawn FROM customer GROUP BY 1""")
+fragment("exact_ranks", "exact_groups", """
+    SELECT variable, place < 7 AS low,
+           2 * rank() OVER (PARTITION BY variable ORDER BY value)
+             + count(*) OVER (PARTITION BY variable, value) - 1 AS r2,
+           row_number() OVER (PARTITION BY variable ORDER BY value, place) AS i
+    FROM (SELECT 'thousands' AS variable, place, thousands AS value FROM exact_groups
+          UNION ALL SELECT 'overdrawn', place, overdrawn FROM exact_groups) x""")
+# Row by row, each is chosen or not: how often every number of rows and sum comes about.
+_CHOICES = """WITH RECURSIVE deal AS (
+    SELECT DISTINCT variable, 0::BIGINT AS i, 0 AS j, 0::BIGINT AS s, 1::HUGEINT AS ways FROM exact_ranks
+    UNION ALL SELECT variable, i, j, s, sum(ways)::HUGEINT FROM
+      (SELECT d.variable, d.i + 1 AS i, d.j + t.take AS j, d.s + t.take * r.r2 AS s, ways
+       FROM deal d JOIN exact_ranks r ON r.variable = d.variable AND r.i = d.i + 1
+       CROSS JOIN (VALUES (0), (1)) AS t(take) WHERE d.j + t.take <= 7) x GROUP BY ALL)
+  SELECT * FROM deal WHERE i = 29 AND j = 7"""
+oracle("st_ranksum_exact", "exact_ranks", f"""
+    SELECT w.variable, 'Wilcoxon rank sum test, exact' AS method, 7 AS n1, 22 AS n2,
+           any_value(w.s) / 2.0 - 28 AS statistic,
+           sum(ways) FILTER (WHERE abs(c.s - 210) >= abs(w.s - 210))::DOUBLE / sum(ways)::DOUBLE AS p_value
+    FROM (SELECT variable, sum(r2) FILTER (WHERE low) AS s FROM exact_ranks GROUP BY 1) w
+    JOIN ({_CHOICES}) c USING (variable) GROUP BY 1""")
 oracle("st_chisq", "sides", f"SELECT *, p AS p_value FROM ({_CUSTOMER_CHI}) t")
 fragment("two_by_two", "sides", """
     SELECT *, lgamma(r1 + 1) + lgamma(n - r1 + 1) + lgamma(c1 + 1) + lgamma(n - c1 + 1)

@@ -942,6 +942,16 @@ def st_ranksum(t: Tables) -> DataFrame:
     return inference.rank_sum_tests(_customers(t), ["c_acctbal", "n_code"], "side", "low", "high")
 
 
+@query("variable method", "n1 n2", "statistic p_value")
+def st_ranksum_exact(t: Tables) -> DataFrame:
+    """Seven groups of customers against twenty-two, by figures with and without ties."""
+    place = F.col("c_custkey") % 29
+    groups = t.raw("customer").groupBy(F.when(place < 7, "low").otherwise("high").alias("side"), place.alias("place")).agg(
+        F.floor(F.sum("c_acctbal") / 10_000).alias("thousands"),
+        F.count_if(F.col("c_acctbal") < 0).alias("overdrawn"))
+    return inference.rank_sum_tests(groups, ["thousands", "overdrawn"], "side", "low", "high", exact=True)
+
+
 @query("variable", "", "statistic df min_expected p_value")
 def st_chisq(t: Tables) -> DataFrame:
     counts = inference.cross_counts(_customers(t), ["c_mktsegment", "overdrawn"], "side")

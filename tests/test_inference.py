@@ -125,6 +125,20 @@ def test_rank_sum_by_brute_force(spark):
     assert r.p_value == pytest.approx(math.erfc(z / math.sqrt(2)))
 
 
+@pytest.mark.parametrize(("n1", "n2", "values"), [(3, 5, 4), (5, 3, 50), (1, 6, 3), (4, 4, 1), (2, 0, 5)])
+def test_exact_rank_sum_by_enumeration(spark, n1, n2, values):
+    rng = random.Random(n1 * 10 + n2)
+    data = [("x", rng.randrange(values) * 1.0) for _ in range(n1)] + [("y", rng.randrange(values) * 1.0) for _ in range(n2)]
+    r = inference.rank_sum_tests(spark.createDataFrame(data, "g string, v double"), ["v"], "g", "x", "y", exact=True).first()
+    pool = sorted(v for _, v in data)
+    rank = [pool.index(v) + (pool.count(v) + 1) / 2 for _, v in data]
+    mean = n1 * (n1 + n2 + 1) / 2
+    far = abs(sum(rank[:n1]) - mean)
+    sums = [sum(c) for c in itertools.combinations(rank, n1)]
+    assert r.p_value == pytest.approx(sum(abs(s - mean) >= far - 1e-9 for s in sums) / len(sums))
+    assert r.statistic == sum(rank[:n1]) - n1 * (n1 + 1) / 2 and r.method.endswith("exact")
+
+
 def table(spark, cells):
     data = [("v", lv, g) for (lv, g), k in cells.items() for _ in range(k)]
     df = spark.createDataFrame([(lv, g) for _, lv, g in data], "v string, g string")

@@ -163,3 +163,16 @@ def test_cohorts_with_unequal_columns(spark):
     out = sets.stack_cohorts({"p": a, "q": b})
     assert out.columns == ["cohort", "x", "y"]
     assert rows(out) == [("p", 1, 2), ("q", 3, None)]
+
+
+def test_ranks_start_no_job_while_the_plan_is_built(spark):
+    """Nor does a null, an empty table or a single value disturb them."""
+    schema = "variable string, value double, n long"
+    counts = spark.createDataFrame([("a", 1.0, 2), ("a", 5.0, 1), (None, 3.0, 4)], schema)
+    spark.sparkContext.setJobGroup("ranks", "")
+    ranked = ranks.mid_ranks(counts, with_before=True)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ranks")
+    spark.sparkContext.setJobGroup("tests", "")
+    got = {(r.variable, r.value): (r["rank"], r.before) for r in ranked.collect()}
+    assert got == {("a", 1.0): (1.5, 0), ("a", 5.0): (3.0, 2), (None, 3.0): (2.5, 0)}
+    assert ranks.mid_ranks(counts.where("false")).collect() == []

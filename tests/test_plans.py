@@ -234,7 +234,75 @@ def test_cadence_by_hand(spark):
 def test_segments_past_midnight_belong_to_the_day_before(spark):
     df = _minutes(spark, {30: 1, 1400: 1}, D(2024, 1, 2))
     got = sensors.assign_segments(df, [("night", 1320, 480)])
-    assert rows(got.select("date", "minute")) == [(D(2024, 1, 1), 30), (D(2024, 1, 2), 1400)]
+    assert rows(got.select("date", "minute")) == [(D(2024, 1, 1), 1470), (D(2024, 1, 2), 1400)]
+
+
+LABELLED = ["pid", "date", "local_segment_label"]
+
+
+def test_a_walk_over_midnight_is_one_bout(spark):
+    late = _minutes(spark, {m: 50 for m in range(1410, 1440)}, D(2024, 1, 1))
+    early = _minutes(spark, {m: 50 for m in range(30)}, D(2024, 1, 2))
+    night = sensors.assign_segments(late.union(early), [("night", 1320, 480)])
+    [r] = sensors.bout_features(night, LABELLED).collect()
+    assert (r.date, r.countepisodeactivebout, r.maxdurationactivebout) == (D(2024, 1, 1), 1, 60)
+    [r] = sensors.cadence_features(night, LABELLED).collect()
+    assert r.max60minutecadence == 50
+    [r] = sensors.step_features(night, LABELLED).collect()
+    assert (r.firststeptime, r.laststeptime, r.sumsteps) == (1410, 1469, 3000)
+
+
+def test_segments_longer_than_a_day_overlap_themselves(spark):
+    df = _minutes(spark, {600: 1}, D(2024, 1, 3))
+    got = sensors.assign_segments(df, [("weekend", 540, 2880)])
+    assert rows(got.select("date", "minute")) == [(D(2024, 1, 2), 2040), (D(2024, 1, 3), 600)]
+    got = sensors.assign_segments(df, [("weekend", 660, 2880)])
+    assert rows(got.select("date", "minute")) == [(D(2024, 1, 1), 3480), (D(2024, 1, 2), 2040)]
+
+
+def test_yield_is_over_the_segments_own_hours(spark):
+    """100 minutes from 23:30: one hour over midnight, and 40 minutes of which 20 are enough."""
+    data = [("p1", D(2024, 1, 1), 1410 + m, 60.0) for m in range(15)]
+    data += [("p1", D(2024, 1, 2), m, 60.0) for m in range(10, 30)]
+    data += [("p1", D(2024, 1, 2), 30 + m, 60.0) for m in range(20)]
+    df = spark.createDataFrame(data, "pid string, date date, minute int, heartrate double")
+    r = sensors.data_yield(sensors.assign_segments(df, [("late", 1410, 100)]), LABELLED).first()
+    assert r.ratiovalidyieldedhours == pytest.approx(1.0)
+    assert r.ratiovalidyieldedminutes == pytest.approx(55 / 100)
+
+
+def _stages(spark, *given):
+    return spark.createDataFrame([("p1", *g) for g in given], "pid string, ts timestamp_ntz, duration_s int, level string, type string")
+
+
+def test_a_session_over_midnight_is_one_night(spark):
+    stages = _stages(
+        spark, (T(2024, 1, 1, 23, 30), 1800, "light", "main"), (T(2024, 1, 2, 0, 0), 3600, "light", "main"),
+        (T(2024, 1, 2, 1, 0), 600, "deep", "main"), (T(2024, 1, 2, 1, 10), 36_600, "light", "main"),
+        (T(2024, 1, 2, 11, 20), 60, "light", "main"), (T(2024, 1, 2, 15, 0), 1200, "light", "nap"),
+        (T(2024, 1, 2, 18, 0), 1200, "light", "nap"))
+    got = rows(sensors.sleep_stage_episodes(stages).select("date", "level", "type", "duration"))
+    first, second = D(2024, 1, 1), D(2024, 1, 2)
+    assert got == [(first, "deep", "main", 10.0), (first, "light", "main", 90.0), (first, "light", "main", 611.0),
+                   (second, "light", "nap", 20.0), (second, "light", "nap", 20.0)]
+
+
+def test_the_longest_of_records_at_one_time_counts(spark):
+    stages = _stages(spark, (T(2024, 1, 1, 23, 0), 60, "wake", "main"), (T(2024, 1, 1, 23, 0), 600, "deep", "main"),
+                     (T(2024, 1, 1, 23, 2), None, "rem", "main"))
+    got = rows(sensors.sleep_stage_episodes(stages).select("level", "duration"), "level")
+    assert got == [("deep", 10.0), ("rem", None)]
+
+
+def test_bed_and_wake_times_go_on_over_midnight(spark):
+    given = [(T(2024, 1, 1, 22, 0), T(2024, 1, 2, 0, 15)), (T(2024, 1, 2, 0, 30), T(2024, 1, 2, 7, 0)),
+             (T(2024, 1, 2, 10, 59), T(2024, 1, 2, 11, 30)), (T(2024, 1, 2, 11, 0), T(2024, 1, 2, 12, 0))]
+    durations = ("minutes_after_wakeup", "minutes_asleep", "minutes_awake", "minutes_to_fall_asleep", "minutes_in_bed")
+    episodes = spark.createDataFrame([("p1", *g, "main") for g in given], "pid string, start_ts timestamp_ntz, end_ts timestamp_ntz, type string")
+    episodes = episodes.withColumns({c: F.lit(1.0) for c in ("efficiency", *durations)})
+    got = sensors.sleep_summary_features(episodes).select(
+        "date", "firstbedtimeall", "lastbedtimeall", "firstwaketimeall", "lastwaketimeall", "countepisodeall")
+    assert rows(got) == [(D(2024, 1, 1), 1320, 2099, 1455, 2130, 3), (D(2024, 1, 2), 660, 660, 720, 720, 1)]
 
 
 def test_yield_needs_half_an_hour(spark):
