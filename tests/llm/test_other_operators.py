@@ -34,9 +34,7 @@ def tokenizer():
     from tokenizers import Tokenizer
 
     pytest.importorskip("public_tokenizers")
-    found = Tokenizer.from_file(registry.vocabulary()[0])
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(registry.vocabulary()[0])
 
 
 def test_token_files(spark, docs, odd, nothing, tokenizer):
@@ -56,10 +54,26 @@ def test_token_files(spark, docs, odd, nothing, tokenizer):
     assert token_files.through_files(nothing, *vocabulary).collect() == []
 
 
-def test_special_names_in_texts_are_text(tokenizer):
+def test_texts_are_encoded_as_the_plain_call_does(tokenizer):
+    """Added tokens, odd white space, narrow and wide texts, and texts dealt into several goes."""
     encoder = token_files.Encoder(*registry.vocabulary())
-    for text in ("a <|endoftext|> </s>", "\x00\x01\u00ad \U0001f600\u200b １２", " \n\n  tab\t\xa0é"):
-        assert encoder.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    rnd = random.Random(4)
+    texts = ["a <|endoftext|> </s>", "<|endoftext|><|endoftext|>x", "\x00\x01\u00ad \U0001f600\u200b １２", " \n\n  tab\t\xa0é", "",
+             "don't 's 'll\n's  've!!'s", "\x1c\x1d \x85\xa0 ²³½ª \xad µ", "\r\n\r\n \u2028 x", "\n"]
+    texts += ["".join(chr(rnd.randrange(256)) for _ in range(40)) for _ in range(300)]
+    alphabet = "ab 'sé\n\t１!\u3000\u0301z\U00010348²"
+    texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 60))) for _ in range(400)]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0][1] != expected[0][2] and 50256 in expected[0]
+    assert [i.tolist() for i in encoder.ids(texts)] == expected
+    small = token_files.Encoder(*registry.vocabulary())
+    small.pieces = token_files.Pieces(registry.vocabulary()[0])
+    keep = token_files._MEMO_SIZE, token_files.TOGETHER
+    try:
+        token_files._MEMO_SIZE, token_files.TOGETHER = 10, 100
+        assert [i.tolist() for i in small.ids(texts)] == expected
+    finally:
+        token_files._MEMO_SIZE, token_files.TOGETHER = keep
 
 
 def test_near_duplicate_vectors(spark):
