@@ -32,7 +32,6 @@ from .textcore import chunks, mixed, prefix_sums, runs, span_hashes
 PART_BYTES = 8 << 20  # of text in a part, where a unit has several bytes
 LEAST_PARTS = 64
 HOT = 2000
-_PLACE = np.uint64(26)  # bits of a place among the grams worked on at a time
 _NO_ID = np.iinfo(np.int64).max  # a null id counts as the largest
 
 
@@ -46,6 +45,7 @@ class Units:
     read: Callable
     equal: Callable  # (packed bytes, entry offsets, windows per entry) -> group of each window
     part_bytes: int = PART_BYTES
+    places: int = 26  # bits of a place among the grams worked on at a time; longer texts take several goes
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -59,23 +59,33 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def anchored_runs(units: Units, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number of windows, 48-bit anchor) of the runs that share an anchor."""
-    n, length, gram = len(hashes), units.length, units.gram
+    stretch = (1 << units.places) - units.length
+    found = [_runs_from(units, hashes, first, low, low + stretch) for low in range(0, max(len(hashes), 1), stretch)]
+    return tuple(np.concatenate(column) for column in zip(*found, strict=True))
+
+
+def _runs_from(units: Units, hashes: np.ndarray, first: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of the windows that start in [low, high).  An anchor depends on its window alone, so
+    where a stretch ends only cuts a run in two."""
+    length, gram, mask = units.length, units.gram, np.uint64((1 << units.places) - 1)
+    hashes = hashes[low : high + length - 1]
+    n = len(hashes)
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none.astype(np.uint64)
     at = np.arange(n - gram + 1)
     grams = span_hashes(prefix_sums(hashes), at, at + gram)
-    place = _sliding_min((grams >> _PLACE << _PLACE) | at.astype(np.uint64), length - gram + 1)
-    place &= np.uint64((1 << 26) - 1)
-    stop = np.repeat(first[1:], np.diff(first))
-    whole = np.flatnonzero(np.arange(length, n + 1) <= stop[: n - length + 1])
+    place = _sliding_min((grams & ~mask) | at.astype(np.uint64), length - gram + 1)
+    place &= mask
+    stop = np.repeat(first[1:], np.diff(np.clip(first, low, low + n)))  # of each unit's row
+    whole = np.flatnonzero(np.arange(low + length, low + n + 1) <= stop[: n - length + 1])
     if not len(whole):
         return none, none, none.astype(np.uint64)
     place = place[whole].astype(np.int64)
     new = np.ones(len(whole), bool)
     new[1:] = (place[1:] != place[:-1]) | (whole[1:] != whole[:-1] + 1)
     begin = np.flatnonzero(new)
-    return whole[begin], np.diff(np.append(begin, len(whole))), mixed(grams[place[begin]]) >> np.uint64(16)
+    return whole[begin] + low, np.diff(np.append(begin, len(whole))), mixed(grams[place[begin]]) >> np.uint64(16)
 
 
 def _planes(values: np.ndarray) -> bytes:

@@ -55,7 +55,7 @@ def _finish(packed: np.ndarray, begin: np.ndarray, end: np.ndarray, gone: np.nda
     return len(gone), int(gone.sum()), kept.decode("utf-8", "replace")
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, key: str = "doc_id", text: str = "text", hot: int = HOT, places: int = 26) -> DataFrame:
     """(key, n_words, n_removed, kept) per row of `docs`.
 
     A word goes if a window of `window` words that covers it starts anywhere else as well, in
@@ -64,6 +64,6 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
     nothing; equal texts of window length and more go whole, repeated rows included; null keys
     are rows like others; further columns are not looked at; no documents: no rows.
     """
-    units = Units(window, min(minimiser, window), _read, _sorted_groups(window))
+    units = Units(window, min(minimiser, window), _read, _sorted_groups(window), places=places)
     out = cut_repeats(docs, units, _RESULT, "key long, n_words long, n_removed long, kept string", _finish, False, key, text, hot)
     return out.withColumnRenamed("key", key)

@@ -70,7 +70,7 @@ def _finish(packed: np.ndarray, begin: np.ndarray, end: np.ndarray, gone: np.nda
     return len(gone), int(gone.sum()), len(runs(gone)[0]), text[~gone].tobytes()
 
 
-def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM, key: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRAM, key: str = "doc_id", text: str = "text", hot: int = HOT, places: int = 26) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept) per row of `docs`, of its UTF-8 bytes.
 
     A byte goes if a string of `threshold` bytes that covers it starts in a document with a smaller key as
@@ -79,7 +79,7 @@ def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, gram: int = GRA
     the same key are one document to each other and remove nothing there; a null key counts as
     the largest; further columns are not looked at; no documents: no rows.
     """
-    units = Units(threshold, min(gram, threshold), _read, _radix_groups(threshold), PART_BYTES)
+    units = Units(threshold, min(gram, threshold), _read, _radix_groups(threshold), PART_BYTES, places)
     out = cut_repeats(
         docs, units, _RESULT, "key long, n_bytes long, n_removed long, n_spans long, kept binary", _finish, True, key, text, hot)
     return out.withColumnRenamed("key", key)

@@ -1,12 +1,14 @@
 """Operators on texts against plain Python."""
 
+import dataclasses
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from phasewise.llm import decontaminate, minhash, mixing, substring_dedup, suffix_dedup
+from phasewise.llm import decontaminate, minhash, mixing, repeats, substring_dedup, suffix_dedup, textcore
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ASCII_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -101,19 +103,20 @@ def without_windows(words, repeated, length):
     return gone
 
 
-@pytest.mark.parametrize("hot", [3, 2000])
-def test_repeated_word_windows(docs, hot):
+@pytest.mark.parametrize(("hot", "places"), [(3, 26), (2000, 26), (2000, 9)])
+def test_repeated_word_windows(docs, hot, places):
+    """With few places a text takes many goes, as one of more than 2^26 words does."""
     words = {i: WORD.findall(t) for i, t in held(docs).items()}
     count = Counter(tuple(w[j : j + 35]) for w in words.values() for j in range(len(w) - 34))
     expected = {}
     for i, w in words.items():
         gone = without_windows(w, lambda x: count[x] > 1, 35)
         expected[i] = (len(w), sum(gone), " ".join(x for x, g in zip(w, gone, strict=True) if not g))
-    assert dict(pairs(substring_dedup.without_repeats(docs, hot=hot), "n_words", "n_removed", "kept")) == expected
+    assert dict(pairs(substring_dedup.without_repeats(docs, hot=hot, places=places), "n_words", "n_removed", "kept")) == expected
 
 
-@pytest.mark.parametrize("hot", [3, 2000])
-def test_repeated_byte_windows(docs, hot):
+@pytest.mark.parametrize(("hot", "places"), [(3, 26), (2000, 26), (2000, 10)])
+def test_repeated_byte_windows(docs, hot, places):
     seen, expected = set(), {}
     for i, text in sorted(held(docs).items()):
         body = text.encode()
@@ -121,10 +124,23 @@ def test_repeated_byte_windows(docs, hot):
         seen |= {tuple(body[j : j + 50]) for j in range(len(body) - 49)}
         spans = sum(g and (not j or not gone[j - 1]) for j, g in enumerate(gone))
         expected[i] = (len(body), sum(gone), spans, bytes(x for x, g in zip(body, gone, strict=True) if not g))
-    got = dict(pairs(suffix_dedup.without_repeats(docs, hot=hot), "n_bytes", "n_removed", "n_spans", "kept"))
+    got = dict(pairs(suffix_dedup.without_repeats(docs, hot=hot, places=places), "n_bytes", "n_removed", "n_spans", "kept"))
     assert {i: (*v[:3], bytes(v[3])) for i, v in got.items()} == expected
 
 
+def test_anchors_do_not_depend_on_the_stretch():
+    units = suffix_dedup.Units(50, 24, None, None)
+    rnd = np.random.default_rng(3)
+    hashes = textcore._BYTE[rnd.integers(97, 101, 5000)]
+    first = np.array([0, 0, 1200, 1230, 5000])
+
+    def windows(places):
+        return [w for s, n, a in zip(*repeats.anchored_runs(dataclasses.replace(units, places=places), hashes, first), strict=True)
+                for w in range(s, s + n)]
+
+    assert windows(26) == windows(9) == windows(7) == [*range(1151), *range(1230, 4951)]
+
+
 def test_repeats_in_odd_rows(odd, nothing):
     words = Counter(pairs(substring_dedup.without_repeats(odd), "n_words", "n_removed"))
     assert words == {(4, (90, 90)): 2, (None, (90, 90)): 1, (None, (0, 0)): 1, (5, (0, 0)): 2, (6, (2, 0)): 1}
