@@ -178,8 +178,10 @@ def _beta_by_side(v) -> Column:
         part = F.exp(log_front) / _beta_fraction(x, y, a, b)
         return bind({"p": part}, lambda q: F.when(s["flip"], 1 - q["p"]).otherwise(q["p"]))
 
-    inside = F.when(v["x"].isNotNull(), bind(sides, body))
-    return F.when(v["x"] <= 0, 0.0).when(v["x"] >= 1, 1.0).otherwise(inside)
+    # Degrees of freedom that a correction made zero or negative have no distribution.
+    known = v["x"].isNotNull() & (v["a"] > 0) & (v["b"] > 0)
+    inside = F.when(known, bind(sides, body))
+    return F.when(~known, None).when(v["x"] <= 0, 0.0).when(v["x"] >= 1, 1.0).otherwise(inside)
 
 
 def chi2_sf(x: Column, df: Column) -> Column:
@@ -227,7 +229,7 @@ def f_sf(f: Column, df1: Column, df2: Column) -> Column:
     def body(v) -> Column:
         f, df1, df2 = v["f"], v["n"], v["d"]
         both = df2 + df1 * f
-        return beta_inc(df2 / both, df2 / 2, df1 / 2, df1 * f / both)
+        return beta_inc(F.try_divide(df2, both), df2 / 2, df1 / 2, F.try_divide(df1 * f, both))
 
     return bind({"f": _d(f), "n": _d(df1), "d": _d(df2)}, body)
 

@@ -2,7 +2,9 @@
 
 No side is ever hinted as broadcast unless it is a literal table: Spark broadcasts by
 measured size (``spark.sql.autoBroadcastJoinThreshold``), otherwise it sorts and merges, and
-AQE splits the partitions of hot keys.
+AQE splits the partitions of hot keys.  It cannot do that in a full join, so none is planned:
+frames of one row per key are stacked and grouped, others get the keys they lack and meet in
+inner joins, in which either side may be split.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ def join_on(
 
     With ``null_safe`` a missing key matches a missing key, as data-frame tools do.
     """
+    if how in ("full", "outer", "fullouter", "full_outer"):
+        return fold_full_join([left, right], keys, null_safe)
     if not null_safe:
         return left.join(right, list(keys), how)
     joined = left.alias("l").join(right.alias("r"), _match(keys, True), how)
@@ -41,7 +45,7 @@ def join_on(
 def full_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    return join_on(left, right, keys, "full", null_safe)
+    return fold_full_join([left, right], keys, null_safe)
 
 
 def left_join(
@@ -50,14 +54,40 @@ def left_join(
     return join_on(left, right, keys, "left", null_safe)
 
 
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*keys).distinct()
+
+
+def _padded(df: DataFrame, spine: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """``df`` with a row, empty but for its keys, for every key of the spine that it lacks."""
+    lacking = spine.alias("l").join(
+        _keys_of(df, keys).alias("r"), _match(keys, null_safe), "left_anti"
+    )
+    return df.unionByName(lacking, allowMissingColumns=True)
+
+
 def fold_full_join(
     frames: Sequence[DataFrame], keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Full-join any number of frames on the same keys.
+    """Full-join any number of frames on the same keys; rows of one key meet all with all.
 
-    All joins share one key set, so each frame is shuffled once.
+    Every frame gets an empty row for each key that only others have; then all keys are in all
+    frames and inner joins keep every row.  What is added and looked up are distinct keys,
+    reduced map-side, so a key with a third of all rows is only ever met by the join that AQE
+    splits.  Where each frame has one row per key, :func:`merge_unique` does with one shuffle.
+    Rows with a missing key match nothing unless ``null_safe``.
     """
-    return reduce(lambda a, b: full_join(a, b, keys, null_safe), frames)
+    if len(frames) == 1:
+        return frames[0]
+    if null_safe:
+        whole, loose = list(frames), []
+    else:
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        whole, loose = [f.filter(known) for f in frames], [f.filter(~known) for f in frames]
+    spine = reduce(lambda a, b: a.unionByName(b), [_keys_of(f, keys) for f in whole]).distinct()
+    padded = [_padded(f, spine, keys, null_safe) for f in whole]
+    joined = reduce(lambda a, b: join_on(a, b, keys, "inner", null_safe), padded)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [joined, *loose])
 
 
 def merge_unique(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -65,11 +95,25 @@ def merge_unique(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
 
     One shuffle with map-side combining instead of a sort-merge per frame; missing keys
     match; a key heavy in one frame cannot pile up in one task.  Value columns must be
-    disjoint across the frames.
+    disjoint across the frames.  The same aggregate counts the rows of each frame: a second
+    one for a key fails the job instead of leaving the choice to chance.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    values = [c for c in stacked.columns if c not in keys]
-    return stacked.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
+    marked = [f.withColumn("__frame", F.lit(i)) for i, f in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    values = [c for c in stacked.columns if c not in keys and c != "__frame"]
+    rows = [F.count_if(F.col("__frame") == i) for i in range(len(frames))]
+    most = F.greatest(*rows) if len(rows) > 1 else rows[0]
+    merged = stacked.groupBy(*keys).agg(
+        most.alias("__rows"), *[F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in values]
+    )
+    return merged.select(*keys, *[only_one(F.col("__rows"), F.col(f"`{c}`")).alias(c) for c in values])
+
+
+def only_one(rows: Column, value: Column) -> Column:
+    """The value if its group has one row, else an error that ends the job."""
+    return F.when(rows <= 1, value).otherwise(
+        F.raise_error(F.lit("more than one row for a key that has to be unique"))
+    )
 
 
 def interval_join(

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from phasewise.operators.joins import only_one
+
 
 def unpivot_long(
     df: DataFrame,
@@ -24,9 +26,8 @@ def unpivot_long(
 
 
 def _pick(value: str, condition: Column, order: str | None) -> Column:
-    picked = F.when(condition, F.col(f"`{value}`"))
     if order is None:
-        return F.first(picked, ignorenulls=True)
+        return F.first(F.when(condition, F.col(f"`{value}`")), ignorenulls=True)
     return F.min_by(F.col(f"`{value}`"), F.when(condition, F.col(order)))
 
 
@@ -42,16 +43,22 @@ def pivot_values(
     """Spread value columns over the given key values with conditional aggregates.
 
     One shuffle, combined map-side.  Names come from ``template``.  Where several rows share
-    id and key, ``order`` names the column whose smallest value decides (any row otherwise).
+    id and key, ``order`` names the column whose smallest value decides; without it the same
+    aggregate counts them, and the job fails rather than leave the choice to chance.
     """
 
     def label(v: str, k) -> str:
         return template(v, k) if callable(template) else template.format(value=v, key=k)
 
-    aggs = [
-        _pick(v, F.col(f"`{key}`") == F.lit(k), order).alias(label(v, k)) for v in values for k in keys
-    ]
-    return df.groupBy(*ids).agg(*aggs)
+    cells = [(label(v, k), i, v, F.col(f"`{key}`") == F.lit(k)) for v in values for i, k in enumerate(keys)]
+    aggs = [_pick(v, here, order).alias(name) for name, _, v, here in cells]
+    if order is not None:
+        return df.groupBy(*ids).agg(*aggs)
+    rows = [F.count_if(F.col(f"`{key}`") == F.lit(k)).alias(f"__rows{i}") for i, k in enumerate(keys)]
+    wide = df.groupBy(*ids).agg(*aggs, *rows)
+    return wide.select(
+        *ids, *[only_one(F.col(f"__rows{i}"), F.col(f"`{name}`")).alias(name) for name, i, *_ in cells]
+    )
 
 
 def pivot_one(

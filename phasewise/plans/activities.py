@@ -16,7 +16,7 @@ from phasewise.operators.aggregates import (
     level_and_overall,
     stat_columns,
 )
-from phasewise.operators.joins import fold_full_join, left_join, merge_unique
+from phasewise.operators.joins import left_join, merge_unique
 from phasewise.operators.reshape import pivot_values
 from phasewise.operators.sets import union_of_distinct
 from phasewise.plans.study import phase_windows
@@ -196,16 +196,15 @@ def endorsement_summary(endorsed: DataFrame) -> DataFrame:
     rating = F.col("activity_rating").cast("double")
     item, survey, day = "activity_id", "survey_id_daily", "date"
     grouped = rows.groupingSets(
-        [[ID, item], [ID, survey], [ID, day]], ID, item, survey, day
+        [[ID, item], [ID, survey], [ID, day], [ID]], ID, item, survey, day
     ).agg(
+        (F.grouping_id() == 7).alias("by_person"),
         (F.grouping(item) == 0).alias("by_activity"),
         (F.grouping(survey) == 0).alias("by_survey"),
         (F.grouping(day) == 0).alias("by_day"),
         F.sum("endorsed").alias("total_endorsed"),
         F.count(rating).alias("total_rated"),
-        *stat_columns("activity_rating", ("mean", "min", "max")),
-        F.sum(rating).alias("sum1"),
-        F.sum(rating * rating).alias("sum2"),
+        *stat_columns("activity_rating", ("mean", "sd", "min", "max")),
     )
     grouped = grouped.withColumn(
         "endorsed_activity_rating_rate", ratio(F.col("total_rated"), F.col("total_endorsed"))
@@ -216,9 +215,9 @@ def endorsement_summary(endorsed: DataFrame) -> DataFrame:
     ]
     person = grouped.groupBy(ID).agg(
         *[F.sum(_where("by_day", F.col(c))).alias(c) for c in ("total_endorsed", "total_rated")],
-        *[F.sum(_where("by_day", F.col(c))).alias(c) for c in ("sum1", "sum2")],
-        F.min(_where("by_day", F.col("activity_rating_min"))).alias("activity_rating_min"),
-        F.max(_where("by_day", F.col("activity_rating_max"))).alias("activity_rating_max"),
+        # One row of its own per participant, whose moments Spark merges map-side.
+        *[F.max(_where("by_person", F.col(f"activity_rating_{s}"))).alias(f"activity_rating_{s}")
+          for s in ("mean", "sd", "min", "max")],
         F.count_if("by_activity").alias("unique_endorsed"),
         F.count_if(F.col("by_activity") & (F.col("total_rated") > 0)).alias("unique_rated"),
         F.count_if("by_survey").alias("daily_surveys"),
@@ -228,15 +227,7 @@ def endorsement_summary(endorsed: DataFrame) -> DataFrame:
             for a in stat_columns(c, ("mean", "sd", "min", "max"), only=F.col("by_day"))
         ],
     )
-    n, total = F.col("total_rated"), F.col("sum1")
-    spread = F.greatest(F.col("sum2") - total * total / n, F.lit(0.0))
-    with_rating = person.withColumns(
-        {
-            "activity_rating_mean": F.when(n > 0, total / n),
-            "activity_rating_sd": F.when(n > 1, F.sqrt(spread / (n - 1))),
-        }
-    )
-    return prefix_columns(with_rating.drop("sum1", "sum2"), "phase1_", keep=[ID])
+    return prefix_columns(person, "phase1_", keep=[ID])
 
 
 def _planned_completed_cells(planned: DataFrame, completed: DataFrame) -> DataFrame:
@@ -345,4 +336,4 @@ def activity_engagement(
 
     The three parts have disjoint columns and one row per participant each.
     """
-    return fold_full_join([selection, endorsement, completion], [ID], null_safe=True)
+    return merge_unique([selection, endorsement, completion], [ID])

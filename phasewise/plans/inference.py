@@ -249,7 +249,7 @@ def _with_sphericity(stats: DataFrame, k: int) -> DataFrame:
     trace = _total(t[a][a] for a in range(p))
     squares = _total(t[a][b] * t[a][b] for a in range(p) for b in range(p))
     gge = F.try_divide(trace * trace, p * squares)
-    rho = 1 - F.lit(2.0 * p * p + p + 2) / (6 * p * (n - 1))
+    rho = 1 - F.try_divide(F.lit(2.0 * p * p + p + 2), 6 * p * (n - 1))
     stats = stats.withColumns(
         {
             "sphericity_W": F.try_divide(_determinant(t), F.pow(trace / p, F.lit(p))),
@@ -263,7 +263,7 @@ def _with_sphericity(stats: DataFrame, k: int) -> DataFrame:
     if p > 2:
         # Box's second-order term; it vanishes for three timepoints.
         top = (p + 2) * (p - 1) * (p - 2) * (2 * p**3 + 6 * p**2 + 3 * p + 2)
-        w2 = F.lit(float(top)) / (288 * F.pow((n - 1) * p * F.col("__rho"), F.lit(2)))
+        w2 = F.try_divide(F.lit(float(top)), 288 * F.pow((n - 1) * p * F.col("__rho"), F.lit(2)))
         p_value = p_value + w2 * (dist.chi2_sf(x, F.lit(df + 4)) - p_value)
     gg = F.col("correction_GGe")
     hfe = F.try_divide(n * p * gg - 2, p * (n - 1 - p * gg))

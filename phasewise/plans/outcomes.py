@@ -110,10 +110,10 @@ def promis_summary_scores(
 def weighted_scores_long(z: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Weighted sums from long z-scores and a weight table (domain, weight_physical, ...).
 
-    A missing component makes the sums missing; ``n_missing`` counts them.  The weight table
-    is a literal of a few rows, so it is broadcast.
+    A missing component makes the sums missing; ``n_missing`` counts them.  Spark
+    broadcasts the weight table if it is small.
     """
-    joined = z.join(F.broadcast(weights), "domain", "left")
+    joined = z.join(weights, "domain", "left")
     names = select_cols(weights, starts="weight_")
     return joined.groupBy(*keys).agg(
         F.count_if(F.col("z").isNull()).alias("n_missing"),

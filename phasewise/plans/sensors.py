@@ -148,6 +148,11 @@ def _distribution(df: DataFrame, keys: Sequence[str], value: str, suffix: str) -
         .agg(F.count("*").alias("c"))
     )
     v, c = F.col("v"), F.col("c")
+    # Squares of distances from the group's own mean: squares minus square would lose what large
+    # values have in common.  A day's values, or a participant's daily ones, in one window.
+    own = Window.partitionBy(*keys)
+    counts = counts.withColumn("__mean", F.sum(v * c).over(own) / F.sum(c).over(own))
+    far = v - F.col("__mean")
     n, s1 = F.sum(c), F.sum(v * c)
     top = F.max_by(v, F.struct(c, -v))
     stats = counts.groupBy(*keys).agg(
@@ -157,12 +162,10 @@ def _distribution(df: DataFrame, keys: Sequence[str], value: str, suffix: str) -
         F.min(v).alias(f"min{suffix}"),
         F.percentile(v, 0.5, c).alias(f"median{suffix}"),
         top.alias(f"mode{suffix}"),
-        # Count-weighted variance around the group's own mean, without a second pass.
-        F.sum(v * v * c).alias("__s2"),
+        F.sum(far * far * c).alias("__s2"),
         (F.log(n) - F.sum(c * F.log(c)) / n).alias(f"entropy{suffix}"),
     )
-    mean, size = F.col(f"avg{suffix}"), F.col("__n")
-    spread = F.greatest(F.col("__s2") - size * mean * mean, F.lit(0.0))
+    size, spread = F.col("__n"), F.col("__s2")
     return stats.withColumns(
         {
             f"std{suffix}": F.when(size > 1, F.sqrt(F.try_divide(spread, size - 1))),

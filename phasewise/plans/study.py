@@ -38,26 +38,21 @@ def both_windows(
 ) -> DataFrame:
     """Both phase windows in one row, for participants that have both.
 
-    A participant has at most one row per phase, so one aggregate over the phase table
-    replaces a join per phase.
+    One aggregate over the phase table replaces a join per phase.  Where a participant has
+    several rows of a phase the one that starts first counts, of those the one that ends
+    first, as a whole; rows without a start come last.
     """
     scoped = phases.filter(
         F.col("phaseId").isin("PHASE_1", "PHASE_2")
         & filters.in_scope(F.col("pId"), prefix, excluded)
     )
-    named = scoped.select(
-        "pId",
-        dates.closed_end(F.col("endDate")).alias("end_date"),
-        F.col("startDate").alias("start_date"),
-        F.lower(F.replace("phaseId", F.lit("_"), F.lit(""))).alias("phase"),
-        F.lit(1).alias("has"),
+    start, end = F.col("startDate"), dates.closed_end(F.col("endDate"))
+    row = F.struct(start.isNull(), start.alias("start"), end.isNull(), end.alias("end"))
+    wide = scoped.groupBy("pId").agg(
+        *[F.min(F.when(F.col("phaseId") == f"PHASE_{k}", row)).alias(f"phase{k}") for k in (1, 2)]
     )
-    wide = pivot_values(
-        named, ["pId"], "phase", ["phase1", "phase2"], ["start_date", "end_date", "has"],
-        template="{key}_{value}",
-    )
-    return wide.filter((F.col("phase1_has") == 1) & (F.col("phase2_has") == 1)).drop(
-        "phase1_has", "phase2_has"
+    return wide.filter("phase1 IS NOT NULL AND phase2 IS NOT NULL").select(
+        "pId", *[F.col(f"phase{k}.{e}").alias(f"phase{k}_{e}_date") for k in (1, 2) for e in ("start", "end")]
     )
 
 

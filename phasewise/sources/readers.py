@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 from phasewise.functions.columns import rename_by_patterns
 from phasewise.operators.joins import fold_full_join
@@ -62,22 +62,62 @@ def blanks_to_null(df: DataFrame, missing: Sequence[str] = MISSING_CELLS) -> Dat
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    """A CSV export with a declared schema.
+REJECT = "__reject"
 
-    Cells are read as text, missing spellings removed, then cast; a cell that does not fit
-    its type is NULL.  Ids declared as text keep leading zeros.  Columns are matched by name,
-    so the file may hold more of them in another order.
+
+def csv_with_rejects(
+    spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = False
+) -> DataFrame:
+    """A CSV export with a declared schema, every record of it, and why a record is rejected.
+
+    Cells are read as text, missing spellings removed, then cast.  Quotes inside quoted cells are
+    doubled, as spreadsheets and data-frame tools write them; commas need quotes, and so do
+    line breaks, which call for ``multi_line`` (a file is then read by one task).  Ids
+    declared as text keep leading zeros.  Columns are matched by name, so the file may hold
+    more of them in another order.
+
+    ``__reject`` is NULL for good records.  Else it is a struct of ``line``, the record as it stands
+    in the file where its number of cells is wrong, and ``cells``, the names of the columns whose text does not
+    fit their type.  Both come from the scan that reads the rows.
     """
     declared = _parse_datatype_string(schema) if isinstance(schema, str) else schema
-    text = blanks_to_null(spark.read.csv(path, header=True, inferSchema=False))
-    return text.select(
-        *[
-            F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
-            for f in declared.fields
-            if f.name in text.columns
-        ]
-    )
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    names = spark.read.options(**options).csv(path).columns  # the first line of the file
+    whole = StructType([StructField(n, StringType()) for n in (*names, "__line")])
+    text = spark.read.options(**options, columnNameOfCorruptRecord="__line").schema(whole).csv(path)
+    clean = blanks_to_null(text)
+    here = [f for f in declared.fields if f.name in names]
+    kept = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in here}
+    misfits = [
+        F.when(F.col(f"`{f.name}`").isNotNull() & kept[f.name].isNull(), F.lit(f.name)) for f in here
+    ]
+    # A record of the wrong length says nothing about its cells.
+    torn = F.col("__line").isNotNull()
+    bad = F.filter(F.array(*misfits), lambda c: c.isNotNull()) if misfits else F.array().cast("array<string>")
+    reject = F.when(torn, F.struct(F.col("__line").alias("line"), F.array().cast("array<string>").alias("cells"))).when(
+        F.size(bad) > 0, F.struct(F.lit(None).cast("string").alias("line"), bad.alias("cells")))
+    return clean.select(*[kept[f.name].alias(f.name) for f in here], reject.alias(REJECT))
+
+
+def reject_kind() -> Column:
+    """``good``, ``torn`` for a wrong number of cells or a document that can't be parsed, else the
+    names of the columns that do not fit."""
+    kind = F.when(F.col(REJECT).isNull(), "good").when(F.col(f"{REJECT}.line").isNotNull(), "torn")
+    return kind.otherwise(F.array_join(f"{REJECT}.cells", ", "))
+
+
+def reject_counts(df: DataFrame) -> DataFrame:
+    """Number of records by :func:`reject_kind`."""
+    return df.groupBy(reject_kind().alias("kind")).agg(F.count("*").alias("n"))
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str | StructType, multi_line: bool = False
+) -> DataFrame:
+    """The records of a CSV export that have the right number of cells; a cell that does not fit its
+    type is NULL.  See :func:`csv_with_rejects`, which keeps what this leaves out."""
+    rows = csv_with_rejects(spark, path, schema, multi_line)
+    return rows.filter(F.col(f"{REJECT}.line").isNull()).drop(REJECT)
 
 
 def read_cohorts(
@@ -114,14 +154,35 @@ def phase_averages(df: DataFrame, overall: str = "overall") -> DataFrame:
     )
 
 
+def documents_with_rejects(
+    raw: DataFrame, document: str = "json", pid: str = "pid"
+) -> DataFrame:
+    """Raw wearable documents, one per row, parsed: pid, ``d`` and why a document is rejected.
+
+    ``__reject`` is as in :func:`csv_with_rejects`: ``line`` is the text of a document that is
+    not JSON of the declared layout, ``cells`` names a missing ``date`` or ``dataset``.
+    """
+    layout = MINUTE_DOCUMENT.removesuffix(">") + ",__line:string>"
+    parsed = F.from_json(document, layout, {"columnNameOfCorruptRecord": "__line"})
+    rows = raw.select(F.col(pid).alias("pid"), F.col(document).alias("__text"), parsed.alias("d"))
+    torn = F.col("d").isNull() | F.col("d.__line").isNotNull()
+    gaps = F.filter(
+        F.array(*[F.when(F.col(f"d.{c}").isNull(), F.lit(c)) for c in ("date", "dataset")]),
+        lambda c: c.isNotNull(),
+    )
+    reject = F.when(torn, F.struct(F.coalesce("__text", F.lit("")).alias("line"), F.array().cast("array<string>").alias("cells"))).when(
+        F.size(gaps) > 0, F.struct(F.lit(None).cast("string").alias("line"), gaps.alias("cells")))
+    return rows.select("pid", "d", reject.alias(REJECT))
+
+
 def minutes_from_json(raw: DataFrame, document: str = "json", pid: str = "pid") -> DataFrame:
     """Raw wearable documents, one per row, to a typed minute series.
 
-    The document layout (``schemas.MINUTE_DOCUMENT``) is this library's own.  A malformed
-    document gives no rows.
+    The document layout (``schemas.MINUTE_DOCUMENT``) is this library's own.  Rejected documents
+    (:func:`documents_with_rejects`) give no rows.
     """
-    parsed = raw.select(F.col(pid).alias("pid"), F.from_json(document, MINUTE_DOCUMENT).alias("d"))
-    rows = parsed.select("pid", "d.date", F.explode("d.dataset").alias("m"))
+    good = documents_with_rejects(raw, document, pid).filter(F.col(REJECT).isNull())
+    rows = good.select("pid", "d.date", F.explode("d.dataset").alias("m"))
     stamp = F.concat_ws(" ", F.col("date"), F.col("m.time")).try_cast("timestamp_ntz")
     return rows.select(
         "pid",

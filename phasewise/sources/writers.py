@@ -14,7 +14,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: tuple[str
         df = df.orderBy(*order)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(header=True, quote='"', escape='"')
     writer.save(path)
 
 

@@ -521,6 +521,20 @@ _SIZE = """CASE WHEN abs(d) < 0.2 THEN 'negligible' WHEN abs(d) < 0.5 THEN 'smal
 oracle("src_cohort_union", "people", """
     SELECT cohort, record_id, age, hispanic, year AS year_diagnosed, day AS day_treatment,
            cancer AS cancer_category_participant, dhls AS dhls_score FROM people""")
+oracle("src_csv", "", """
+    SELECT kind, count(*) AS n, count(*) FILTER (WHERE kind <> 'torn') AS ids,
+           sum(CASE WHEN kind <> 'torn' THEN length(c_name) + CASE c_custkey % 4 WHEN 0 THEN 10 WHEN 1 THEN 9 ELSE 0 END END)
+             AS letters,
+           sum(c_acctbal) FILTER (WHERE kind = 'good' AND c_custkey % 13 <> 0) AS balance
+    FROM (SELECT *, CASE WHEN c_custkey % 17 = 0 THEN 'torn' WHEN c_custkey % 11 = 0 THEN 'balance'
+                    ELSE 'good' END AS kind FROM customer) x GROUP BY 1""")
+oracle("src_json_rejects", "ev", """
+    SELECT CASE k % 7 WHEN 0 THEN 'torn' WHEN 1 THEN 'dataset' ELSE 'good' END AS kind, count(*) AS n
+    FROM ev GROUP BY 1""")
+oracle("flt_yield", "device_days", f"""
+    SELECT record_id, date, phase, CASE WHEN {_WORN} THEN yield END AS yield,
+           CASE WHEN {_WORN} THEN avghr END AS avghr, CASE WHEN {_WORN} THEN sumsteps END AS sumsteps,
+           CASE WHEN {_WORN} THEN asleep END AS asleep FROM device_days""")
 oracle("src_json_minutes", "ev", """
     SELECT 'p' || pId AS pid, date, count(*) AS minutes, sum(k) AS steps, avg(value) AS heartrate
     FROM ev GROUP BY 1, 2""")

@@ -77,6 +77,28 @@ def src_json_minutes(t: Tables) -> DataFrame:
     )
 
 
+@query("kind", "n ids letters", "balance")
+def src_csv(t: Tables) -> DataFrame:
+    """An export with quotes, commas and line breaks in cells, written and read back; records that do
+    not fit are kept apart and counted in the same scan."""
+    read = readers.csv_with_rejects(
+        t.spark, t.csv_export(), "record_id string, name string, balance double", multi_line=True
+    )
+    kinds = readers.reject_kind()
+    whole = F.col("kind") != "torn"
+    return read.withColumn("kind", kinds).groupBy("kind").agg(
+        F.count("*").alias("n"),
+        F.count_distinct(F.when(whole & (F.length("record_id") == 8), F.col("record_id"))).alias("ids"),
+        F.sum(F.when(whole, F.length("name"))).alias("letters"),
+        F.sum(F.when(whole, F.col("balance"))).alias("balance"),
+    )
+
+
+@query("kind", "n")
+def src_json_rejects(t: Tables) -> DataFrame:
+    return readers.reject_counts(readers.documents_with_rejects(t.faulty_documents()))
+
+
 @query("record_id", "study_phase n_days n_days_with_sufficient_data", "avghr_mean")
 def src_phase_averages(t: Tables) -> DataFrame:
     return readers.phase_averages(_device_averages(t))
@@ -813,6 +835,16 @@ def _device_days(t: Tables) -> DataFrame:
     return days.withColumnsRenamed({v: k for k, v in FEATURES.items()})
 
 
+@query("record_id date", "phase", "yield avghr sumsteps asleep")
+def flt_yield(t: Tables) -> DataFrame:
+    """The calendar with the features of days of enough wear only."""
+    minutes = sensors.daily_features(t.minutes(), t.sleep_episodes(), min_hour_ratio=1 / 60)
+    days = devices.calendar_device_features(
+        study.study_calendar(t.phases()), minutes, list(FEATURES.values()), min_yield=(FEATURES["yield"], "1/12")
+    )
+    return days.withColumnsRenamed({v: k for k, v in FEATURES.items()})
+
+
 def _device_averages(t: Tables) -> DataFrame:
     return devices.average_device_features(
         _device_days(t), ["avghr", "sumsteps", "asleep"], "yield", threshold="1/12"

@@ -6,10 +6,13 @@ correspondence.  ``oracle.py`` states the same derivations in SQL.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
+FILES = 8  # of an export
 PHASE1 = ("2024-01-01", "2024-01-15")
 PHASE2 = ("2024-01-15", "2024-01-29")
 ORDER_PHASE2 = "1998-05-01"
@@ -17,6 +20,17 @@ DOMAINS = ("anxiety", "cf", "dep", "fatigue", "pain", "pf", "sleep", "social")
 BLOCK_NAMES = ("bl", "mp", "eos")
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder that all executors share; unset (local runs), a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = f"file://{tempfile.mkdtemp(prefix='phasewise-')}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 class Tables:
     """The supplied parquet tables and the study tables made of them."""
 
@@ -387,6 +401,36 @@ class Tables:
             F.when(k % 2 == 0, "main").otherwise("nap").alias("type"),
         )
 
+    def csv_export(self) -> str:
+        """Customers written as CSV files, the path of which it returns.
+
+        Names hold quotes, commas and line breaks; some balances are missing or no numbers, and
+        some records have a cell too many.
+        """
+        key = F.col("c_custkey")
+        name = F.when(key % 4 == 0, F.concat(F.lit('say "hi", '), "c_name")).when(
+            key % 4 == 1, F.concat("c_name", F.lit("\nand more"))).otherwise(F.col("c_name"))
+        balance = F.when(key % 11 == 0, "oops").when(key % 13 == 0, "NA").otherwise(F.col("c_acctbal").cast("string"))
+        cells = [F.format_string("%08d", key), F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"')), balance]
+        line = F.concat(F.concat_ws(",", *cells), F.when(key % 17 == 0, ",more").otherwise(""))
+        lines = self.raw("customer").select((key % FILES).cast("int").alias("file"), F.lit(1).alias("place"), line.alias("value"))
+        heads = self.spark.range(FILES).select(
+            F.col("id").cast("int").alias("file"), F.lit(0).alias("place"), F.lit("record_id,name,balance").alias("value"))
+        path = f"{scratch(self.spark)}/export-{uuid.uuid4().hex}"
+        ordered = lines.unionByName(heads).repartition("file").sortWithinPartitions("file", "place")
+        ordered.select("file", "value").write.partitionBy("file").text(path)
+        return f"{path}/file=*"
+
+    def faulty_documents(self) -> DataFrame:
+        """The documents of `raw_documents`, some broken off and some without samples."""
+        k = F.col("k")
+        whole = F.to_json(F.struct(
+            F.col("date").cast("string").alias("date"),
+            F.array(F.struct(F.date_format("ts", "HH:mm:ss").alias("time"), k.alias("steps"))).alias("dataset")))
+        text = F.when(k % 7 == 0, F.substring(whole, 1, 25)).when(
+            k % 7 == 1, F.to_json(F.struct(F.col("date").cast("string").alias("date")))).otherwise(whole)
+        return self.events().select(F.concat(F.lit("p"), "pId").alias("pid"), text.alias("json"))
+
     def raw_documents(self) -> DataFrame:
         """One JSON document per event, holding its minute sample."""
         sample = F.struct(

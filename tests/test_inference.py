@@ -297,3 +297,12 @@ def test_anova_table_uses_the_correction_and_blanks(long):
 def test_small_p_is_significant(spark):
     df = spark.createDataFrame([(1e-9,), (0.2,)], "p double")
     assert [r[0] for r in df.select(text.significant(df.p)).collect()] == [True, False]
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_few_complete_participants_do_not_end_the_job(spark, n):
+    data = [(str(i), t, float(i * t + t * t)) for i in range(n) for t in (1, 2, 3)]
+    df = spark.createDataFrame(data, "id string, time int, a double")
+    r = inference.repeated_measures_anova(df, ["a"], "time", "id").first()
+    assert r.n == n and (r.anova_p is None) == (n == 1)
+    assert inference.pairwise_t_tests(df, ["a"], "time", "id").count() == 3

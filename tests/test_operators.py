@@ -176,3 +176,12 @@ def test_ranks_start_no_job_while_the_plan_is_built(spark):
     got = {(r.variable, r.value): (r["rank"], r.before) for r in ranked.collect()}
     assert got == {("a", 1.0): (1.5, 0), ("a", 5.0): (3.0, 2), (None, 3.0): (2.5, 0)}
     assert ranks.mid_ranks(counts.where("false")).collect() == []
+
+
+def test_second_rows_of_a_key_fail_the_job(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "x", 2), ("b", "y", 3)], "id string, k string, v int")
+    with pytest.raises(Exception, match="more than one row for a key"):
+        reshape.pivot_values(df, ["id"], "k", ["x", "y"], ["v"]).collect()
+    assert rows(reshape.pivot_values(df, ["id"], "k", ["x", "y"], ["v"], order="v")) == [("a", 1, None), ("b", None, 3)]
+    with pytest.raises(Exception, match="more than one row for a key"):
+        joins.merge_unique([df.select("id", "v"), df.select("id", "k")], ["id"]).collect()

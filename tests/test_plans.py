@@ -333,3 +333,20 @@ def test_ownership_by_prefix(spark):
     df = spark.createDataFrame([("12", "12_x"), ("12", "x12")], "o string, i string")
     got = rows(df.select(recode.ownership(F.col("o"), F.col("i"))))
     assert got == [("Custom",), ("Default",)]
+
+
+def test_a_window_is_one_row_of_the_phase_table(spark):
+    """Two rows of a phase: never the start of one with the end of the other."""
+    given = [("a", "PHASE_1", D(2024, 1, 5), D(2024, 1, 9)), ("a", "PHASE_1", D(2024, 1, 2), None), ("a", "PHASE_1", None, D(2024, 1, 3)),
+             ("a", "PHASE_2", D(2024, 2, 1), D(2024, 2, 5)), ("b", "PHASE_1", D(2024, 1, 1), D(2024, 1, 2))]
+    phases = spark.createDataFrame(given, "pId string, phaseId string, startDate date, endDate date")
+    assert rows(study.both_windows(phases)) == [("a", D(2024, 1, 2), None, D(2024, 2, 1), D(2024, 2, 4))]
+
+
+def test_deviations_of_large_values_keep_their_digits(spark):
+    values = [1e9 + x for x in (0, 1, 1, 2, 7)]
+    df = spark.createDataFrame([("p", D(2024, 1, 1), v) for v in values], "pid string, date date, heartrate double")
+    r = sensors._distribution(df, sensors.DAY, "heartrate", "hr").first()
+    import statistics
+
+    assert r.stdhr == pytest.approx(statistics.stdev(values), rel=1e-9)

@@ -96,3 +96,25 @@ def test_compliance_of_a_hot_participant(splitting):
         )
     )
     assert got == sorted((str(i), 5, 30) for i in range(30))
+
+
+def test_full_joins_split_the_hot_participant(splitting, events):
+    """On whichever side its rows are; nobody's rows are lost, nor those without a key."""
+    other = splitting.createDataFrame([("0", 1), ("none", 2), (None, 3)], "pId string, x int")
+    loose = events.limit(1).withColumn("pId", F.lit(None).cast("string"))
+    rows_ = events.unionByName(loose)
+    for joined in (joins.full_join(rows_, other, ["pId"]), joins.full_join(other, rows_, ["pId"])):
+        plan = final_plan(joined)
+        assert "skew=true" in plan and "FullOuter" not in plan
+        assert joined.count() == ROWS + 3
+        assert joined.filter("x = 1 AND payload IS NOT NULL").count() == events.filter("pId = '0'").count()
+    assert joins.full_join(rows_, other, ["pId"], null_safe=True).count() == ROWS + 2
+
+
+def test_no_full_join_in_the_engagement_of_participants(spark):
+    from phasewise.plans import activities
+
+    parts = [spark.createDataFrame([(i, 1.0)], f"record_id string, {c} double") for i, c in (("a", "x"), ("b", "y"), ("a", "z"))]
+    merged = activities.activity_engagement(*parts)
+    assert "FullOuter" not in final_plan(merged)
+    assert rows(merged) == [("a", 1.0, None, 1.0), ("b", None, 1.0, None)]

@@ -15,6 +15,41 @@ def test_csv_ids_and_missing_cells(spark, tmp_path):
     assert rows(df) == [("007", None, dt.date(2024, 1, 1)), ("008", 41.0, None), ("009", None, None)]
 
 
+def test_quotes_commas_and_line_breaks_in_cells(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text('record_id,said,age\n1,"say ""hi"", ok",5\n2,"two\nlines",6\n3,"",7\n')
+    df = readers.read_csv(spark, str(path), "record_id string, said string, age int", multi_line=True)
+    assert rows(df) == [("1", 'say "hi", ok', 5), ("2", "two\nlines", 6), ("3", None, 7)]
+
+
+def test_written_csv_reads_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    given = [("1", 'a "b", c'), ("2", "x\ny"), ("3", None), ("4", "back\\slash")]
+    writers.write_table(spark.createDataFrame(given, "id string, t string"), path, "csv")
+    assert rows(readers.read_csv(spark, path, "id string, t string", multi_line=True)) == given
+
+
+def test_rejected_records_are_kept_apart_and_counted(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("record_id,age,day\n1,41,2024-01-01\n2,41,2024-01-01,x\n3\n4,old,never\n5,NA,\n")
+    df = readers.csv_with_rejects(spark, str(path), "record_id string, age double, day date")
+    assert rows(readers.reject_counts(df)) == [("age, day", 1), ("good", 2), ("torn", 2)]
+    lines = {r.record_id: r[readers.REJECT].line for r in df.filter(f"{readers.REJECT}.line IS NOT NULL").collect()}
+    assert lines == {"2": "2,41,2024-01-01,x", "3": "3"}
+    kept = readers.read_csv(spark, str(path), "record_id string, age double, day date")
+    assert [r[0] for r in rows(kept)] == ["1", "4", "5"]
+
+
+def test_rejected_documents_are_kept_apart_and_counted(spark):
+    good = '{"date":"2024-01-01","dataset":[{"time":"10:00:00","steps":3}]}'
+    given = [good, "{nonsense", None, '{"date":"2024-01-01"}', '{"dataset":[{"time":"10:00:00"}]}', "{}"]
+    df = spark.createDataFrame([("p", g) for g in given], "pid string, json string")
+    found = readers.documents_with_rejects(df)
+    assert rows(readers.reject_counts(found)) == [
+        ("dataset", 1), ("date", 1), ("date, dataset", 1), ("good", 1), ("torn", 2)]
+    assert readers.minutes_from_json(df).count() == 1
+
+
 def test_cohorts_are_harmonised(spark, tmp_path):
     (tmp_path / "a.csv").write_text("record_id,dhl_1\n1,2\n")
     (tmp_path / "b.csv").write_text("record_id,dhls1\n2,3\n")
