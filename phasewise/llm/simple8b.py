@@ -18,26 +18,30 @@ ESCAPE = 15
 
 
 def _widths(values: np.ndarray) -> np.ndarray:
+    if not len(values) or values.max() < np.uint64(1 << 53):  # exact as doubles
+        return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1])
+    return np.where(high > 0, np.frexp(high)[1] + 32, np.frexp(low)[1]).astype(np.uint8)
 
 
 def _selectors(values: np.ndarray) -> np.ndarray:
     """For every place the packing that takes most values from there on; what lies beyond the end
-    fits any packing."""
-    n, widths = len(values), _widths(values)
-    best = np.where(widths > BITS[14], ESCAPE, 14)
+    fits any packing.  Widest values of windows come from those of half as many."""
+    n = len(values)
+    widths = np.append(_widths(values), np.zeros(2 * COUNTS[0], np.uint8))
+    best = np.where(widths[:n] > BITS[14], ESCAPE, 14).astype(np.uint8)
+    have, widest = 1, widths  # of the windows of `have` values from each place on
     for s in range(13, -1, -1):
-        wide = np.flatnonzero(widths > BITS[s])
-        if n - len(wide) == 0:
-            break
-        following = np.append(wide, n + COUNTS[0])
-        if np.diff(following, prepend=-1).max() <= min(COUNTS[s], n):
-            continue  # no run of values is long enough
-        gap = np.repeat(following, np.diff(following, prepend=-1))[:n] - np.arange(n)
-        best[gap >= np.minimum(COUNTS[s], n)] = s
-    return best
+        count = int(COUNTS[s])
+        while 2 * have <= count:
+            widest = np.maximum(widest[: len(widest) - have], widest[have:])
+            have *= 2
+        fits = np.maximum(widest[:n], widest[count - have : count - have + n]) <= BITS[s]
+        if not fits.any():
+            break  # nor do longer windows of narrower values
+        best[fits] = s
+    return best.astype(np.int64)
 
 
 def encode(values: np.ndarray) -> bytes:

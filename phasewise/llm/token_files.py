@@ -7,6 +7,7 @@ Shards are ranges of keys; start counts the ids of the shard before the block, w
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,8 +23,7 @@ from .common import new_path, python_tasks
 BLOCK_IDS = 1 << 16
 END = 2
 MOST_BROADCAST = 1_000_000  # shards, that is write tasks, of 16 bytes each
-_MEMO_SIZE = 600_000
-TOGETHER = 1 << 21  # characters of texts whose new pieces are encoded together
+_MEMO_SIZE, _LATER = 800_000, 200_000  # pieces
 
 
 def byte_characters() -> dict[int, str]:
@@ -36,9 +36,8 @@ def byte_characters() -> dict[int, str]:
 
 class Pieces(dict):
     """Ids of the pieces a worker has met, as little-endian 32-bit numbers.  Pieces repeat far more
-    than texts do; once full, the memo keeps the pieces it has, mostly the frequent ones.
-
-    A piece goes straight to the vocabulary's merges, unless the tokenizer normalises texts first."""
+    than texts do; once full, the memo keeps the pieces it has, mostly the frequent ones, and the
+    latest others are held beside it.  A piece goes straight to the vocabulary's merges, unless the tokenizer normalises texts first."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -48,7 +47,7 @@ class Pieces(dict):
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.merge = self.tokenizer.model.tokenize if self.tokenizer.normalizer is None else None
         self.characters = byte_characters()
-        self.fresh: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -56,16 +55,22 @@ class Pieces(dict):
     def _ids(self, piece: str) -> list[int]:
         if self.merge is None:
             return self.whole(piece)
+        if piece.isascii() and piece.isprintable():  # only the space is written otherwise
+            return [t.id for t in self.merge(piece.replace(" ", self.characters[32]))]
         return [t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.characters))]
 
-    def learn(self, pieces: set[str]) -> None:
-        """Makes the ids of `pieces` known, until the next call at least."""
-        self.fresh = {p: np.array(self._ids(p), "<u4").tobytes() for p in pieces.difference(self)}
-        if len(self) + len(self.fresh) <= _MEMO_SIZE:
-            self.update(self.fresh)
-
     def __missing__(self, piece: str) -> bytes:
-        return self.fresh[piece]
+        coded = self.later.get(piece)
+        if coded is None:
+            ids = self._ids(piece)
+            coded = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self) < _MEMO_SIZE:
+                self[piece] = coded
+            else:
+                if len(self.later) >= _LATER:
+                    self.later.clear()
+                self.later[piece] = coded
+        return coded
 
 
 _pieces: dict[str, Pieces] = {}
@@ -115,21 +120,10 @@ class Encoder:
             return self.fast(text)
         return self.wide(text)
 
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
-        begin = 0
-        while begin < len(texts):
-            size, end = 0, begin
-            while end < len(texts) and (end == begin or size + len(texts[end]) <= TOGETHER):
-                size, end = size + len(texts[end]), end + 1
-            some = [None if any(t in text for t in self.pieces.added) else self.split(text) for text in texts[begin:end]]
-            self.pieces.learn(set().union(*[x for x in some if x]))
-            for text, found in zip(texts[begin:end], some, strict=True):
-                if found is None:
-                    yield np.array(self.pieces.whole(text), "<u4")
-                else:
-                    yield np.frombuffer(b"".join(map(self.pieces.__getitem__, found)), "<u4")
-            begin = end
+    def ids(self, text: str) -> np.ndarray:
+        if any(t in text for t in self.pieces.added):
+            return np.array(self.pieces.whole(text), "<u4")
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), "<u4")
 
 
 def _encode(vocabulary: str, pattern: str, end: int, key_type: pa.DataType):
@@ -146,8 +140,8 @@ def _encode(vocabulary: str, pattern: str, end: int, key_type: pa.DataType):
 
         held = 0
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for key, coded in zip(batch.column(0).to_pylist(), encoder.ids(texts), strict=True):
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                coded = encoder.ids(text.as_py() or "")
                 keys.append(key)
                 lengths.append(len(coded) + 1)
                 ids += [coded, closing]

@@ -55,7 +55,7 @@ def test_token_files(spark, docs, odd, nothing, tokenizer):
 
 
 def test_texts_are_encoded_as_the_plain_call_does(tokenizer):
-    """Added tokens, odd white space, narrow and wide texts, and texts dealt into several goes."""
+    """Added tokens, odd white space, narrow and wide texts, and a memo that overflows."""
     encoder = token_files.Encoder(*registry.vocabulary())
     rnd = random.Random(4)
     texts = ["a <|endoftext|> </s>", "<|endoftext|><|endoftext|>x", "\x00\x01\u00ad \U0001f600\u200b １２", " \n\n  tab\t\xa0é", "",
@@ -65,15 +65,15 @@ def test_texts_are_encoded_as_the_plain_call_does(tokenizer):
     texts += ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 60))) for _ in range(400)]
     expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert expected[0][1] != expected[0][2] and 50256 in expected[0]
-    assert [i.tolist() for i in encoder.ids(texts)] == expected
+    assert [encoder.ids(t).tolist() for t in texts] == expected
     small = token_files.Encoder(*registry.vocabulary())
     small.pieces = token_files.Pieces(registry.vocabulary()[0])
-    keep = token_files._MEMO_SIZE, token_files.TOGETHER
+    keep = token_files._MEMO_SIZE, token_files._LATER
     try:
-        token_files._MEMO_SIZE, token_files.TOGETHER = 10, 100
-        assert [i.tolist() for i in small.ids(texts)] == expected
+        token_files._MEMO_SIZE, token_files._LATER = 10, 5
+        assert [small.ids(t).tolist() for t in texts] == expected
     finally:
-        token_files._MEMO_SIZE, token_files.TOGETHER = keep
+        token_files._MEMO_SIZE, token_files._LATER = keep
 
 
 def test_near_duplicate_vectors(spark):
