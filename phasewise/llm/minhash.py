@@ -32,6 +32,7 @@ SHINGLE = 5
 COORDINATES = 64
 # Of 64 coordinates two sets of similarity 0.80 agree on fewer than 36 once in 100,000 pairs.
 THRESHOLD = 36
+OUT = 1 << 16  # rows of a batch
 _MULTIPLIERS = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -93,9 +94,12 @@ def _set(packed: pa.Scalar) -> np.ndarray:
 
 def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for node, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            own = _set(packed)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), node)), pa.array(own)], ["node", "shingle"])
+        column = batch.column(1).cast(pa.large_binary())
+        ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        every = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(np.int64)
+        node = np.repeat(batch.column(0).to_numpy(), np.diff(ends) // 8)
+        for i in range(0, len(every), OUT):
+            yield pa.RecordBatch.from_arrays([pa.array(node[i : i + OUT]), pa.array(every[i : i + OUT])], ["node", "shingle"])
 
 
 def _intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

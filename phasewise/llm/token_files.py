@@ -23,7 +23,7 @@ from .common import new_path, python_tasks
 BLOCK_IDS = 1 << 16
 END = 2
 MOST_BROADCAST = 1_000_000  # shards, that is write tasks, of 16 bytes each
-_MEMO_SIZE, _LATER = 800_000, 200_000  # pieces
+_MEMO_SIZE, _LATER = 300_000, 100_000  # pieces; the first stay with the worker, the others for a task
 
 
 def byte_characters() -> dict[int, str]:
@@ -151,6 +151,7 @@ def _encode(vocabulary: str, pattern: str, end: int, key_type: pa.DataType):
                     start, held, keys, lengths, ids = start + held, 0, [], [], []
         if keys:
             yield block()
+        encoder.pieces.later.clear()
 
     return encode
 
