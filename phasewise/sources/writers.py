@@ -7,10 +7,22 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", order: tuple[str, ...] = ()) -> None:
-    """Overwrite a table; ``order`` sorts it, which is the only place a global sort pays."""
-    if order:
+from phasewise.operators.ranks import ordinals
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    order: tuple[str, ...] = (),
+    ordinal: str | None = None,
+) -> None:
+    """Overwrite a table; ``order`` sorts it, which is the only place a global sort pays.  Files
+    keep no order of their own once they are read side by side, so ``ordinal`` names a column
+    for the place of each row."""
+    if order and ordinal:
+        df = ordinals(df, order, ordinal).orderBy(ordinal)
+    elif order:
         df = df.orderBy(*order)
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":

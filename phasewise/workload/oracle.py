@@ -528,6 +528,8 @@ oracle("src_csv", "", """
            sum(c_acctbal) FILTER (WHERE kind = 'good' AND c_custkey % 13 <> 0) AS balance
     FROM (SELECT *, CASE WHEN c_custkey % 17 = 0 THEN 'torn' WHEN c_custkey % 11 = 0 THEN 'balance'
                     ELSE 'good' END AS kind FROM customer) x GROUP BY 1""")
+oracle("snk_ordered", "ev", """
+    SELECT pId, event_type, event_id, row_number() OVER (ORDER BY ts, event_id) AS place FROM ev""")
 oracle("src_json_rejects", "ev", """
     SELECT CASE k % 7 WHEN 0 THEN 'torn' WHEN 1 THEN 'dataset' ELSE 'good' END AS kind, count(*) AS n
     FROM ev GROUP BY 1""")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -25,9 +26,9 @@ from phasewise.plans import (
     study,
     tables,
 )
-from phasewise.sources import readers
+from phasewise.sources import readers, writers
 from phasewise.workload.shape import Shape, bundle, spread
-from phasewise.workload.standin import Tables
+from phasewise.workload.standin import Tables, scratch
 
 Build = Callable[[Tables], DataFrame]
 
@@ -94,6 +95,15 @@ def src_csv(t: Tables) -> DataFrame:
     )
 
 
+@query("pId event_type", "event_id place")
+def snk_ordered(t: Tables) -> DataFrame:
+    """Events written in order with their place in it, and read back."""
+    path = f"{scratch(t.spark)}/ordered-{uuid.uuid4().hex}"
+    events = t.events().select("pId", "event_type", "event_id", "ts")
+    writers.write_table(events, path, order=("ts", "event_id"), ordinal="place")
+    return readers.read_table(t.spark, path)
+
+
 @query("kind", "n")
 def src_json_rejects(t: Tables) -> DataFrame:
     return readers.reject_counts(readers.documents_with_rejects(t.faulty_documents()))

@@ -185,3 +185,15 @@ def test_second_rows_of_a_key_fail_the_job(spark):
     assert rows(reshape.pivot_values(df, ["id"], "k", ["x", "y"], ["v"], order="v")) == [("a", 1, None), ("b", None, 3)]
     with pytest.raises(Exception, match="more than one row for a key"):
         joins.merge_unique([df.select("id", "v"), df.select("id", "k")], ["id"]).collect()
+
+
+@pytest.mark.parametrize("column", ["s", "d", "x"])
+def test_ordinals_by_brute_force(spark, column):
+    days = [None if i % 11 == 0 else dt.date(2024, 1, 1 + i % 9) for i in range(200)]
+    data = [(i, None if i % 13 == 0 else f"{'éab'[i % 3]}{i % 29}", days[i], None if i % 7 == 0 else (i * 37 % 23) - 9.5) for i in range(200)]
+    df = spark.createDataFrame(data, "i int, s string, d date, x double").repartition(5)
+    got = {r.i: r.place for r in ranks.ordinals(df, [column, "i"], "place").collect()}
+    at = "isdx".index(column)
+    key = lambda r: (r[at] is not None, r[at].encode() if isinstance(r[at], str) else r[at], r[0])
+    assert got == {r[0]: n for n, r in enumerate(sorted(data, key=key), 1)}
+    assert ranks.ordinals(df.where("false"), [column], "place").collect() == []
