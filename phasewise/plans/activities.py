@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from phasewise.functions import recode
@@ -16,7 +16,7 @@ from phasewise.operators.aggregates import (
     level_and_overall,
     stat_columns,
 )
-from phasewise.operators.joins import left_join, merge_unique
+from phasewise.operators.joins import merge_unique
 from phasewise.operators.reshape import pivot_values
 from phasewise.operators.sets import union_of_distinct
 from phasewise.plans.study import phase_windows
@@ -235,21 +235,25 @@ def _planned_completed_cells(planned: DataFrame, completed: DataFrame) -> DataFr
 
     Matching planned with completed rows multiplies repeats (two surveys on one day); a count
     of each side gives that product without producing the rows, and one aggregate over the
-    union replaces three full joins.
+    union replaces three full joins.  Rows are dealt by participant-day once, which serves the
+    cells and the window over a day's cells (at most the catalogue of activities).
     """
     both = planned.select("pId", "date", "activityId", "planned").unionByName(
         completed.select("pId", "date", "activityId", "completed"), allowMissingColumns=True
     )
-    cells = both.groupBy("pId", "date", "activityId").agg(
+    cells = both.repartition("pId", "date").groupBy("pId", "date", "activityId").agg(
         F.count("planned").alias("n_planned"), F.count("completed").alias("n_completed")
     )
-    days = cells.groupBy("pId", "date").agg(
-        F.max((F.col("n_planned") > 0).cast("int")).alias("has_morning"),
-        F.max((F.col("n_completed") > 0).cast("int")).alias("has_evening"),
+    day = Window.partitionBy("pId", "date")
+    cells = cells.withColumns(
+        {
+            "has_morning": F.max((F.col("n_planned") > 0).cast("int")).over(day),
+            "has_evening": F.max((F.col("n_completed") > 0).cast("int")).over(day),
+        }
     )
     planned_flag = F.when(F.col("n_planned") > 0, 1)
     completed_flag = F.when(F.col("n_completed") > 0, 1)
-    return left_join(cells, days, ["pId", "date"], null_safe=True).select(
+    return cells.select(
         F.col("pId").alias(ID),
         "date",
         "has_morning",
