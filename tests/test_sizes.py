@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from phasewise import session
 from phasewise.operators import filters
-from phasewise.plans import activities
+from phasewise.plans import activities, sensors
 
 IDS = ["S_DAILY_1", "S_MORNING_1", "MORNING", "S_MORNING", "_MORNING_", "aMORNINGb", "\U0001f600MORNING\U0001f600",
        "", None, "7_PHASE_1", "PHASE_1", "xPHASE?1", "7_PHASE_12", "_PHASE_2", "%", "7_PHASE_1\n", "MORNINGMORNINGx"]
@@ -64,3 +64,12 @@ def test_partitions_grow_in_number_with_the_input(spark, tmp_path):
     finally:
         spark.conf.unset(sizes)
         spark.conf.unset(number)
+
+
+def test_segments_are_found_by_generated_code(spark):
+    minutes = spark.range(1).selectExpr("'p' AS pid", "DATE'2024-01-02' AS date", "30 AS minute")
+    segments = sensors.assign_segments(minutes, [("night", 1320, 480), ("day", 480, 840)])
+    assert "lambda" not in plan_of(segments)
+    assert [(str(r.date), r.minute, r.local_segment_label) for r in segments.collect()] == [
+        ("2024-01-01", 1470, "night")
+    ]
