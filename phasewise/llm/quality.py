@@ -9,6 +9,7 @@ documents.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -220,6 +221,33 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["id", "low", "toxic", "held", "buckets", "figures", "categories"])
 
 
+def _fit_rows(got: pa.Table, rounds: int) -> Model | None:
+    """The model of rows that `_extract` made."""
+    got = got.sort_by([("id", "ascending")]).combine_chunks()
+    buckets = got["buckets"].combine_chunks()
+    first = np.append(0, np.cumsum(np.diff(buckets.offsets.to_numpy())))
+    figures = got["figures"].combine_chunks().flatten().to_numpy().reshape(len(got), -1)
+    categories = got["categories"].combine_chunks().flatten().to_numpy().astype(np.int64).reshape(len(got), -1)
+    cuts = np.quantile(figures, _QUANTILES, axis=0).T
+    views = [(buckets.flatten().to_numpy().astype(np.int64), first), page_columns(figures, categories, cuts)]
+    held = got["held"].to_numpy()
+    heads = [co_train(views, [1 << WORD_BITS, _PAGE_WIDTH], got[fault].to_numpy(), held, rounds) for fault in ("low", "toxic")]
+    heads = [h for h in heads if h]
+    return Model(cuts, heads) if heads else None
+
+
+def _fitted(rounds: int):
+    """One task fits, so that neither the sample nor what fitting takes stays in the driver."""
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = list(batches)
+        model = _fit_rows(pa.Table.from_batches(got), rounds) if sum(map(len, got)) else None
+        if model:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    return fitted
+
+
 def train(docs: DataFrame, labels: DataFrame, labelled: int = MOST_LABELLED, pool: int = MOST_POOL, rounds: int = ROUNDS) -> Model | None:
     """Fits on at most `labelled` labelled and `pool` unlabelled documents, those with the
     smallest hashes of their ids; a third of the labelled ones is held out.  Several labels of a
@@ -236,20 +264,9 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = MOST_LABELLED, poo
         "doc_id", F.lit(-1).alias("low"), F.lit(-1).alias("toxic"), F.lit(False).alias("held"))
     sample = F.broadcast(chosen.unionByName(free))  # at most labelled + pool rows
     columns = ["doc_id", "text", "source", "lang", F.col("n_chars").cast("long").alias("n_chars"), "low", "toxic", "held"]
-    got = docs.join(sample, "doc_id").select(*columns).mapInArrow(_extract, _ARROW).toArrow()
-    got = got.sort_by([("id", "ascending")]).combine_chunks()
-    if not len(got):
-        return None
-    buckets = got["buckets"].combine_chunks()
-    first = np.append(0, np.cumsum(np.diff(buckets.offsets.to_numpy())))
-    figures = got["figures"].combine_chunks().flatten().to_numpy().reshape(len(got), -1)
-    categories = got["categories"].combine_chunks().flatten().to_numpy().astype(np.int64).reshape(len(got), -1)
-    cuts = np.quantile(figures, _QUANTILES, axis=0).T
-    views = [(buckets.flatten().to_numpy().astype(np.int64), first), page_columns(figures, categories, cuts)]
-    held = got["held"].to_numpy()
-    heads = [co_train(views, [1 << WORD_BITS, _PAGE_WIDTH], got[fault].to_numpy(), held, rounds) for fault in ("low", "toxic")]
-    heads = [h for h in heads if h]
-    return Model(cuts, heads) if heads else None
+    rows = docs.join(sample, "doc_id").select(*columns).mapInArrow(_extract, _ARROW)
+    fitted = rows.repartition(1).mapInArrow(_fitted(rounds), "model binary").first()  # a bounded sample
+    return pickle.loads(fitted["model"]) if fitted else None
 
 
 def _chances(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

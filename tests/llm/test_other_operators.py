@@ -145,6 +145,15 @@ def test_the_classifier_takes_odd_rows(spark, odd, docs, nothing):
     assert quality.classify(nothing, labels).collect() == []
 
 
+def test_the_classifier_is_fitted_in_a_task(spark, monkeypatch):
+    def in_the_driver(*_, **__):
+        raise AssertionError("fitted in the driver")
+
+    monkeypatch.setattr(quality, "co_train", in_the_driver)  # workers import their own
+    train, labels = labelled(spark, 400)
+    assert len(quality.train(train, labels).heads) == 2
+
+
 def test_audit_of_odd_records(spark):
     pages = spark.createDataFrame([(1, "http://a/", "x"), (1, "http://a/", "x"), (None, None, None), (70, "http://b/", ""), (9, "u", None)],
                                   "page_id long, url string, html string")
