@@ -65,18 +65,27 @@ def delete_cut(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+LINKS_A_TASK = 50_000
+
+
+def _tasks(spark: SparkSession, links: int) -> int:
+    """How many tasks read what a shuffle of so many links deals out: one for every LINKS_A_TASK, and
+    as many as there are cores at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-links // LINKS_A_TASK))
+
+
+def _large_star(edges: DataFrame, tasks: int) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return (both.where("v > u").join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+    return (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .coalesce(tasks).distinct().coalesce(tasks))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, tasks: int) -> DataFrame:
     down = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     moved = down.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return moved.coalesce(tasks).union(least.select("u", F.col("m").alias("v")).coalesce(tasks)).distinct().coalesce(tasks)
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -88,16 +97,22 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars until nothing moves; every round is a few shuffles of at
     most one row per link and is cut, so the plan stays short.  Links of a node to itself are
-    allowed and keep the node; null ends must be removed before.
+    allowed and keep the node; null ends must be removed before.  Links and result are worked out
+    once, and a shuffle of few links is read by few tasks, however many partitions it has: the
+    driver plans every stage and keeps figures of every task.
     """
-    alone = edges.where("u = v").select(F.col("u").alias("node"), F.col("u").alias("component"))
-    now = cut(edges.where("u != v").select("u", "v").distinct(), "links")
-    before = None
+    given = cut(edges.select("u", "v").distinct(), "links")
+    alone = given.where("u = v").select(F.col("u").alias("node"), F.col("u").alias("component"))
+    now, before, tasks = given.where("u != v"), None, _tasks(edges.sparkSession, 0)
     while (mark := _mark(now)) != before and mark[0]:
-        before, old = mark, now
-        now = cut(_small_star(_large_star(now)), "links")
-        delete_cut(old)
+        old, tasks = now, _tasks(now.sparkSession, mark[0])
+        now = cut(_small_star(_large_star(now, tasks), tasks), "links")
+        if before:  # the first links are read again at the end
+            delete_cut(old)
+        before = mark
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return (stars.union(roots).union(alone).groupBy("node")
-            .agg(F.min("component").alias("component")))
+    found = cut(stars.union(roots).union(alone).groupBy("node").agg(F.min("component").alias("component")).coalesce(tasks), "components")
+    for done in {given, now} if before else {given}:
+        delete_cut(done)
+    return found
