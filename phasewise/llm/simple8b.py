@@ -65,9 +65,14 @@ def encode(values: np.ndarray) -> bytes:
         if s == ESCAPE:
             packed[at] |= np.arange(len(at), dtype=np.uint64)
         elif BITS[s]:
-            for j in range(COUNTS[s]):
-                place = starts[at] + j
-                packed[at] |= np.where(place < last[at], padded[place], np.uint64(0)) << np.uint64(j * BITS[s])
+            begin, room = starts[at], last[at] - starts[at]
+            short = np.flatnonzero(room < COUNTS[s])  # words that end with their group
+            word = padded[begin]
+            for j in range(1, COUNTS[s]):
+                value = padded[begin + j]
+                value[short[room[short] <= j]] = 0
+                word |= value << np.uint64(j * BITS[s])
+            packed[at] |= word
     escapes = values[starts[chosen == ESCAPE]]
     head = np.array([_MAGIC, n, len(packed), len(escapes)], "<u4")
     return b"".join(x.tobytes() for x in (head, np.array(offsets, "<u4"), packed.astype("<u8"), escapes.astype("<u8")))
