@@ -17,49 +17,66 @@ from .textcore import _BYTE, runs
 
 THRESHOLD = 50  # bytes
 GRAM = 24  # bytes
-PART_BYTES = 3 << 20  # every byte is a unit, which takes some 60 bytes while a part is worked on
+PART_BYTES = 3 << 20  # every byte is a unit, and most travel in several windows
+SLICE = 1 << 18  # windows sorted at a time after the first pass
 
 _RESULT = pa.schema([("key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+_AT = np.arange((1 << 18) + 1)  # shared by the chunks of a part
 
 
 def _read(data: np.ndarray, ends: np.ndarray):
-    at = np.arange(len(data) + 1)
+    at = _AT[: len(data) + 1] if len(data) < len(_AT) else np.arange(len(data) + 1)
     return _BYTE[data], ends, data, at[:-1], at[1:]
 
 
-def _digits(body: np.ndarray) -> np.ndarray:
-    """The eight bytes from every place on as one number, the first byte highest."""
-    padded = np.append(body, np.zeros(8, np.uint8))
-    out = np.zeros(len(body), np.uint64)
-    for i in range(8):
-        out = (out << np.uint64(8)) | padded[i : i + len(body)]
+def _split(block: np.ndarray, size: int) -> list[tuple[int, int]]:
+    """Neighbouring slices of about `size` that cut no block, which are sorted."""
+    edge = np.append(np.flatnonzero(np.diff(block)) + 1, len(block))
+    out, low = [], 0
+    while low < len(block):
+        high = int(edge[min(np.searchsorted(edge, low + size), len(edge) - 1)])
+        out.append((low, high))
+        low = high
     return out
 
 
-def _radix_groups(depth: int):
+def _radix_groups(depth: int, slice_: int = SLICE):
     passes = [*range(0, depth - 7, 8)] or [0]
     if depth > 8 and passes[-1] + 8 < depth:
         passes.append(depth - 8)  # the last digit overlaps the one before
 
     def equal(body: bytes, offsets: np.ndarray, n: np.ndarray) -> np.ndarray:
-        digits = _digits(np.frombuffer(body, np.uint8))
-        if depth < 8:
-            digits >>= np.uint64(8 * (8 - depth))
-        place = np.repeat(offsets[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        left = np.arange(len(place))
-        block = np.zeros(len(place), np.int64)
-        for p in passes:
-            digit = digits[place[left] + p]
-            order = np.lexsort((digit, block))
-            left, block, digit = left[order], block[order], digit[order]
+        # The eight bytes from every place on as one number, the first byte highest.
+        digits = np.ndarray(len(body) + 1, ">u8", body + bytes(8), strides=(1,))
+        place = np.repeat((offsets[:-1] - np.cumsum(n) + n).astype(np.int32 if len(body) < 1 << 31 else np.int64), n)
+        place += np.arange(len(place), dtype=place.dtype)
+
+        def digit(left: np.ndarray, p: int) -> np.ndarray:
+            found = digits[place[left] + p].astype(np.uint64)
+            return found >> np.uint64(8 * (8 - depth)) if depth < 8 else found
+
+        def partners(left: np.ndarray, block: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             new = np.ones(len(left), bool)
             new[1:] = (digit[1:] != digit[:-1]) | (block[1:] != block[:-1])
             alone = new & np.append(new[1:], True)
-            left, block = left[~alone], (np.cumsum(new) - 1)[~alone]
-        group = np.full(len(place), -1, np.int64)
-        found, group[left] = np.unique(block, return_inverse=True)
+            return left[~alone], (np.cumsum(new, dtype=np.int32) - 1)[~alone]
+
+        group, found = np.full(len(place), -1, np.int64), 0
+        first = digit(np.arange(len(place), dtype=np.int32), passes[0])
+        order = np.argsort(first).astype(np.int32)
+        every, blocks = partners(order, np.zeros(len(place), np.int8), first[order])
+        del first, order
+        for low, high in _split(blocks, slice_):
+            left, block = every[low:high], blocks[low:high]
+            for p in passes[1:]:
+                own = digit(left, p)
+                order = np.lexsort((own, block))
+                left, block = partners(left[order], block[order], own[order])
+            names, group[left] = np.unique(block, return_inverse=True)
+            group[left] += found
+            found += len(names)
         rest = np.flatnonzero(group < 0)
-        group[rest] = len(found) + np.arange(len(rest))
+        group[rest] = found + np.arange(len(rest))
         return group
 
     return equal

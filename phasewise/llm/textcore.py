@@ -38,8 +38,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, ends) of neighbouring rows of about CHUNK bytes; ends has one entry more
+def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, ends) of neighbouring rows of about `size` bytes; ends has one entry more
     than rows and starts at 0.  Null texts are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -50,7 +50,7 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
         yield row, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
 
